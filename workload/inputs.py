@@ -263,7 +263,7 @@ CTES["spending"] = """
 
 def spending(spark: SparkSession, d: str) -> DataFrame:
     """Orders as account rows; one priority plays the grand total."""
-    number = (F.substring("o_orderpriority", 1, 1).cast("int") - 1).cast("string")
+    number = F.translate(F.substring("o_orderpriority", 1, 1), "12345", "01234")
     return placed(spark, d).select(
         "ano",
         "sigla_uf",
