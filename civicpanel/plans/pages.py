@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 from civicpanel import fixed_values as fv
 from civicpanel.functions.expressions import label
 from civicpanel.operators.association import lagged_pairs, pearson_by
-from civicpanel.operators.compare import expand_entities, focus_series, selected_indicators, share_of_total
-from civicpanel.operators.filters import choose_dimension, keep_members
+from civicpanel.operators.compare import (
+    distinct_values,
+    expand_entities,
+    focus_series,
+    selected_indicators,
+    share_of_total,
+)
+from civicpanel.operators.filters import choose_dimension, drop_members, keep_members
 from civicpanel.operators.panel_regression import fixed_effects
 from civicpanel.operators.tenure import term_bands
 from civicpanel.sources.tables import indicator_slice
@@ -40,6 +46,24 @@ def state_terms(terms: DataFrame, focus: str) -> DataFrame:
     return term_bands(terms, focus)
 
 
+def entity_options(states: DataFrame) -> DataFrame:
+    """Names that can be compared: states, then regions, then the country."""
+    names = states.select(F.lit(1).alias("grupo"), F.col("nome_uf").alias("entidade"))
+    regions = states.select(F.lit(2).alias("grupo"), label(fv.REGION_PREFIX, F.col("regiao")).alias("entidade"))
+    country = states.select(F.lit(3).alias("grupo"), F.lit(fv.COUNTRY_ENTITY).alias("entidade"))
+    options = names.unionByName(regions).unionByName(country).dropna().distinct()
+    return options.orderBy("grupo", "entidade")
+
+
+def function_options(fact: DataFrame) -> DataFrame:
+    return distinct_values(indicator_slice(fact, fv.SPENDING_ID), "dimensao")
+
+
+def indicator_options(catalogue: DataFrame) -> DataFrame:
+    """Indicators without sub-dimensions, the ones that can be set against spending."""
+    return drop_members(catalogue, "id_indicador", fv.WITH_DIMENSIONS)
+
+
 def spending_rows(fact: DataFrame, functions: Sequence[str] | None, as_share: bool) -> DataFrame:
     """Spending (ano, sigla_uf, dimensao, valor) of the functions, absolute or as share."""
     rows = indicator_slice(fact, fv.SPENDING_ID)

@@ -237,3 +237,9 @@ def test_group_values_of_a_hot_key(spark):
     df = spark.range(10_000).selectExpr("if(id % 3 = 0, 'hot', cast(id AS STRING)) AS k", "1.0D AS v")
     got = lookups.with_group_values(df, ["k"], total=F.sum("v"))
     assert got.where("k = 'hot'").agg(F.min("total"), F.count("*")).first() == (3334.0, 3334)
+
+
+def test_indicator_options(spark):
+    catalogue = literal_frame(spark, fv.INDICATORS, "id_indicador STRING, nome STRING, unidade STRING, f STRING, p STRING")
+    options = pages.indicator_options(catalogue)
+    assert options.count() == 9 and options.where("nome = 'IDHM'").isEmpty()

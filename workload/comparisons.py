@@ -213,10 +213,13 @@ def on_balances(select, more=""):
     return with_ctes("purchases", select=f"SELECT * FROM (WITH {BALANCES}{more} {select})")
 
 
+def balances(spark, d):
+    return src.placed(spark, d).groupBy("ano", "sigla_uf").agg(F.avg("saldo").alias("saldo"))
+
+
 def pairs(spark, d, lag):
     """Spending per priority against the mean balance of the ordering customers."""
-    balances = src.placed(spark, d).groupBy("ano", "sigla_uf").agg(F.avg("saldo").alias("saldo"))
-    return association.lagged_pairs(src.purchases(spark, d), balances, ["sigla_uf"], "ano", lag)
+    return association.lagged_pairs(src.purchases(spark, d), balances(spark, d), ["sigla_uf"], "ano", lag)
 
 
 @query(
@@ -275,33 +278,37 @@ SWEEPS = """
   FROM tested"""
 
 
-def on_panel(where):
+def on_panel(cause, x, where=""):
     return with_ctes(
         "purchases",
-        select=f"""SELECT * FROM (WITH RECURSIVE {BALANCES},
-          panel AS (SELECT dimensao, p.sigla_uf, p.ano, valor / 1e6 AS x, saldo / 1e3 AS y
-            FROM purchases p JOIN balances b ON p.sigla_uf = b.sigla_uf AND p.ano = b.ano {where}),
+        select=f"""SELECT * FROM (WITH RECURSIVE {BALANCES}, {SHARES},
+          panel AS (SELECT dimensao, p.sigla_uf, p.ano, {x} AS x, saldo / 1e3 AS y
+            FROM {cause} p JOIN balances b ON p.sigla_uf = b.sigla_uf AND p.ano = b.ano {where}),
           {SWEEPS})""",
     )
 
 
+def balanced_shares(spark, d):
+    return association.lagged_pairs(shares(spark, d), balances(spark, d), ["sigla_uf"], "ano", 0)
+
+
 def slopes(panel):
-    panel = panel.withColumns({"x": F.col("valor") / 1e6, "y": F.col("saldo") / 1e3})
+    panel = panel.withColumn("y", F.col("saldo") / 1e3)
     out = fixed_effects_by(panel, ["dimensao"], "sigla_uf", "ano", "x", "y", digits=None)
     rounded = to_digits(out, 5, "efeito", "erro_padrao")
     return rounded.withColumn("valor_p", F.bround("valor_p", 3))
 
 
-@query("fixed_effects", on_panel(""))
+@query("fixed_effects", on_panel("purchases", "valor / 1e6"))
 def fixed_effects(spark, d):
-    return slopes(pairs(spark, d, 0))
+    return slopes(pairs(spark, d, 0).withColumn("x", F.col("valor") / 1e6))
 
 
-@query("fixed_effects_unbalanced", on_panel("WHERE valor % 7 <> 0 AND saldo > 400000"))
+@query("fixed_effects_unbalanced", on_panel("shares", "valor", "WHERE valor > 18.5 AND saldo > 420000"))
 def fixed_effects_unbalanced(spark, d):
-    """The panel with holes: which cells are missing depends on their values."""
-    holed = pairs(spark, d, 0).where((F.col("valor") % 7 != 0) & (F.col("saldo") > 400_000))
-    return slopes(holed)
+    """A panel with holes: high shares of state-years with a high balance."""
+    held = balanced_shares(spark, d).where((F.col("valor") > 18.5) & (F.col("saldo") > 420_000))
+    return slopes(held.withColumn("x", F.col("valor")))
 
 
 # --- checks ---------------------------------------------------------------------

@@ -7,18 +7,54 @@ is counted in cents: whole numbers in doubles, whose sums do not depend on their
 
 from __future__ import annotations
 
+from functools import wraps
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from civicpanel.operators.measures import sum_by
 from civicpanel.plans import indicators as ind
+from civicpanel.sources.tables import read_table
 
 CTES: dict[str, str] = {}
+_PLANS: WeakKeyDictionary[SparkSession, dict] = WeakKeyDictionary()
+
+
+def shared(build):
+    """Build a derivation's plan once per session and folder; holds plans, no data."""
+
+    @wraps(build)
+    def get(spark: SparkSession, d: str) -> DataFrame:
+        plans = _PLANS.setdefault(spark, {})
+        key = (build.__name__, d)
+        if key not in plans:
+            plans[key] = build(spark, d)
+        return plans[key]
+
+    return get
+
+
+# Stated, so that building a plan reads no file footer.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    return read_table(spark, f"{d}/{name}.parquet", SCHEMAS[name])
 
 
 def cents(amount: str) -> Column:
@@ -70,6 +106,7 @@ CTES["estado"] = """
   FROM nation JOIN region ON n_regionkey = r_regionkey"""
 
 
+@shared
 def states(spark: SparkSession, d: str) -> DataFrame:
     nation, region = table(spark, d, "nation"), table(spark, d, "region")
     joined = nation.join(region, nation.n_regionkey == region.r_regionkey)
@@ -93,6 +130,7 @@ CTES["placed"] = """
   JOIN estado ON c_nationkey = n_nationkey"""
 
 
+@shared
 def placed(spark: SparkSession, d: str) -> DataFrame:
     """One row per order."""
     orders, customer = table(spark, d, "orders"), table(spark, d, "customer")
@@ -115,6 +153,7 @@ CTES["shipped"] = """
   JOIN part ON l_partkey = p_partkey"""
 
 
+@shared
 def shipped(spark: SparkSession, d: str) -> DataFrame:
     """One row per order line."""
     line, part = table(spark, d, "lineitem"), table(spark, d, "part")
@@ -142,6 +181,7 @@ CTES["deaths"] = """
   FROM shipped"""
 
 
+@shared
 def deaths(spark: SparkSession, d: str) -> DataFrame:
     """Order lines as deaths, with missing ages and missing birth dates."""
     size = F.col("p_size")
@@ -159,10 +199,12 @@ def deaths(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@shared
 def births(spark: SparkSession, d: str) -> DataFrame:
     return placed(spark, d).select("ano", "sigla_uf")
 
 
+@shared
 def links(spark: SparkSession, d: str) -> DataFrame:
     active = F.when(F.col("o_orderstatus") == "F", "1").otherwise("0")
     return placed(spark, d).select("ano", "sigla_uf", active.alias("vinculo_ativo_3112"))
@@ -175,11 +217,13 @@ CTES["population"] = """
   FROM placed GROUP BY ALL"""
 
 
+@shared
 def gdp(spark: SparkSession, d: str) -> DataFrame:
     rows = placed(spark, d).withColumnRenamed("nome_uf", "uf")
     return sum_by(rows, ["ano", "cod_uf", "uf"], "valor", "pib_mil_reais")
 
 
+@shared
 def population(spark: SparkSession, d: str) -> DataFrame:
     """Ordering customers per state and year."""
     return (
@@ -193,6 +237,7 @@ CTES["per_head"] = """
   SELECT ano, sigla_uf, count(DISTINCT o_custkey)::DOUBLE AS populacao FROM placed GROUP BY ALL"""
 
 
+@shared
 def per_head(spark: SparkSession, d: str) -> DataFrame:
     return ind.state_population(population(spark, d), states(spark, d))
 
@@ -207,6 +252,7 @@ CTES["municipalities"] = """
   FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 
 
+@shared
 def deforestation(spark: SparkSession, d: str) -> DataFrame:
     """Cumulative quantity per supplier, flag and year."""
     yearly = (
@@ -222,6 +268,7 @@ def deforestation(spark: SparkSession, d: str) -> DataFrame:
     return yearly.select("ano", "id_municipio", "bioma", F.sum("area").over(so_far).alias("desmatado"))
 
 
+@shared
 def municipalities(spark: SparkSession, d: str) -> DataFrame:
     supplier, nation = table(spark, d, "supplier"), table(spark, d, "nation")
     return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
@@ -238,6 +285,7 @@ CTES["sanitation"] = """
   FROM shipped"""
 
 
+@shared
 def sanitation(spark: SparkSession, d: str) -> DataFrame:
     """Lines as municipalities, with missing indices and missing or zero weights."""
     number = F.col("l_linenumber")
@@ -261,6 +309,7 @@ CTES["spending"] = """
   FROM placed"""
 
 
+@shared
 def spending(spark: SparkSession, d: str) -> DataFrame:
     """Orders as account rows; one priority plays the grand total."""
     number = F.translate(F.substring("o_orderpriority", 1, 1), "12345", "01234")
@@ -285,6 +334,7 @@ CTES["schools"] = """
   FROM placed GROUP BY ALL"""
 
 
+@shared
 def schools(spark: SparkSession, d: str) -> DataFrame:
     network = F.when(F.col("o_orderstatus") == "P", "municipal").otherwise("estadual")
     return (
@@ -309,6 +359,7 @@ CTES["development"] = """
   FROM placed GROUP BY ALL"""
 
 
+@shared
 def development(spark: SparkSession, d: str) -> DataFrame:
     return (
         placed(spark, d)
@@ -330,6 +381,7 @@ CTES["elections"] = """
   FROM placed"""
 
 
+@shared
 def elections(spark: SparkSession, d: str) -> DataFrame:
     """Orders as candidacies; the most valuable ones are elected."""
     return placed(spark, d).select(
@@ -352,6 +404,7 @@ CTES["quarters"] = """
   FROM placed GROUP BY ALL"""
 
 
+@shared
 def quarters(spark: SparkSession, d: str) -> DataFrame:
     period = F.concat(F.col("ano").cast("string"), F.lit("0"), F.quarter("o_orderdate").cast("string"))
     return (
@@ -372,6 +425,7 @@ def _document(series: DataFrame, classes: Column) -> DataFrame:
     return series.select("regiao", F.concat(F.lit("["), block, F.lit(',{"id":"x"}]')).alias("json"))
 
 
+@shared
 def quarter_documents(spark: SparkSession, d: str) -> DataFrame:
     """(regiao, json): a series of quarters per state; sparse quarters carry a missing mark.
 
@@ -391,6 +445,7 @@ def quarter_documents(spark: SparkSession, d: str) -> DataFrame:
     return _document(series, F.array(total))
 
 
+@shared
 def year_documents(spark: SparkSession, d: str) -> DataFrame:
     """(regiao, json): the year is a class, the key of each series is the edition."""
     points = (
@@ -417,6 +472,7 @@ CTES["purchases"] = """
   SELECT ano, sigla_uf, o_orderpriority AS dimensao, sum(valor) AS valor FROM placed GROUP BY ALL"""
 
 
+@shared
 def purchases(spark: SparkSession, d: str) -> DataFrame:
     """Order value per state, year and priority."""
     rows = placed(spark, d).withColumnRenamed("o_orderpriority", "dimensao")
@@ -431,6 +487,7 @@ CTES["running"] = """
          sum(valor) OVER (PARTITION BY user_id, event_type ORDER BY dia) AS acumulado FROM daily"""
 
 
+@shared
 def running(spark: SparkSession, d: str) -> DataFrame:
     """Running sum of event values per user, type and day: a cumulative series with gaps."""
     daily = (

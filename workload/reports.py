@@ -90,6 +90,26 @@ def page_state_terms(spark, d):
     return pages.state_terms(governor_table(spark, d), None)
 
 
+@query(
+    "page_entity_options",
+    with_ctes(
+        "estado",
+        select="""SELECT 1 AS grupo, nome_uf AS entidade FROM estado
+          UNION SELECT 2, 'Região ' || regiao FROM estado UNION SELECT 3, 'Brasil (média)' """,
+    ),
+)
+def page_entity_options(spark, d):
+    return pages.entity_options(src.states(spark, d))
+
+
+@query(
+    "page_function_options",
+    on_fact("SELECT DISTINCT dimensao FROM fact WHERE id_indicador = '4_despesa_funcao' ORDER BY 1"),
+)
+def page_function_options(spark, d):
+    return pages.function_options(order_fact(spark, d))
+
+
 def _grains(rows, *by):
     keys = ", ".join(by)
     return f"""(SELECT {keys}, valor, nome_uf AS entidade FROM {rows} LEFT JOIN estado USING (sigla_uf)
