@@ -42,15 +42,17 @@ def expand_entities(
     """(by, value, entidade) at three grains: entity, mean of its group, mean of all.
 
     Entity rows are passed through, not aggregated. Both means come from one pass with
-    grouping sets. An entity without a group counts in the overall mean only.
+    grouping sets. An entity without a group counts in the overall mean only. NULL keys
+    are dropped from the means after grouping: a filter before it would reach the source
+    of one branch only, and the two would no longer share their input's shuffle.
     """
     base = df.join(entities.select(key, name, group), key, "left")
     own = base.select(*by, value, F.col(name).alias("entidade"))
     means = (
-        base.dropna(subset=list(by))
-        .groupingSets([[*by, group], [*by]], *by, group)
+        base.groupingSets([[*by, group], [*by]], *by, group)
         .agg(F.avg(value).alias(value), F.grouping(group).alias("_all"))
         .where((F.col("_all") == 1) | F.col(group).isNotNull())
+        .dropna(subset=list(by))
         .select(
             *by,
             value,

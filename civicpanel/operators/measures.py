@@ -113,23 +113,21 @@ def increments(
     if last is not None:
         rows = rows.where(t <= last)
     nothing = F.lit(None).cast(dict(df.dtypes)[value])
+    # seen: 0 only as previous, 1 here with a value, 2 here without one.
     as_current = F.struct(
-        t.alias(time), v.alias("now"), nothing.alias("before"), v.isNull().alias("gone"), F.lit(True).alias("here")
+        t.alias(time), v.alias("now"), nothing.alias("before"), F.when(v.isNull(), 2).otherwise(1).alias("seen")
     )
     as_previous = F.struct(
-        (t + 1).alias(time), nothing.alias("now"), v.alias("before"), F.lit(False).alias("gone"), F.lit(False).alias("here")
+        (t + 1).alias(time), nothing.alias("now"), v.alias("before"), F.lit(0).alias("seen")
     )
     pairs = rows.select(*keys, F.inline(F.array(as_current, as_previous)))
     steps = pairs.groupBy(*keys, time).agg(
-        F.min("now").alias("now"),
-        F.max("before").alias("before"),
-        F.max("gone").alias("gone"),
-        F.max("here").alias("here"),
+        F.min("now").alias("now"), F.max("before").alias("before"), F.max("seen").alias("seen")
     )
-    kept = steps.where(F.col("here") & F.col("before").isNotNull())
+    kept = steps.where((F.col("seen") > 0) & F.col("before").isNotNull())
     if first is not None:
         kept = kept.where(F.col(time) >= first)
-    step = F.when(~F.col("gone"), at_least(F.col("now") - F.col("before")))
+    step = F.when(F.col("seen") == 1, at_least(F.col("now") - F.col("before")))
     return kept.select(*keys, time, step.alias(name))
 
 

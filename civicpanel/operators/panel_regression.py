@@ -24,12 +24,49 @@ from civicpanel import fixed_values as fv
 from civicpanel.functions.expressions import round_half_even
 
 NEGLIGIBLE = 1e-12
+SALTS = 64
 
 
-def _total(cells: str, term) -> Column:
+def _let(value: Column, body) -> Column:
+    """Bind a value once for use inside a lambda.
+
+    A plain column would be inlined into the lambda and computed again for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _total(cells: str | Column, term) -> Column:
     return F.aggregate(cells, F.lit(0.0), lambda acc, c: acc + term(c))
 
 
+def _means(cells: str | Column) -> Column:
+    """Weighted means of x and y over the cells of an entity, and their total weight."""
+    nothing = F.lit(0.0)
+    return F.aggregate(
+        cells,
+        F.struct(nothing.alias("n"), nothing.alias("x"), nothing.alias("y")),
+        lambda acc, c: F.struct(
+            (acc["n"] + c["n"]).alias("n"),
+            (acc["x"] + c["n"] * c["x"]).alias("x"),
+            (acc["y"] + c["n"] * c["y"]).alias("y"),
+        ),
+        lambda acc: F.struct(
+            acc["n"].alias("n"),
+            F.try_divide(acc["x"], acc["n"]).alias("x"),
+            F.try_divide(acc["y"], acc["n"]).alias("y"),
+        ),
+    )
+
+
+def _less(c: Column, by: Column, *keep: str) -> Column:
+    """A cell with x and y reduced by those of another struct."""
+    return F.struct(
+        *[c[f].alias(f) for f in (*keep, "n", "vx", "vxy")],
+        (c["x"] - by["x"]).alias("x"),
+        (c["y"] - by["y"]).alias("y"),
+    )
+
+
 def _entity_rows(panel: DataFrame, by: list[str], entity: str, time: str, x: str, y: str) -> DataFrame:
     """One row per (panel, entity) with its cells, x and y centred on the entity mean.
 
@@ -51,26 +88,15 @@ def _entity_rows(panel: DataFrame, by: list[str], entity: str, time: str, x: str
     # One collected column, so that no reader of these rows prunes another part of it and
     # all of them share the same shuffle.
     cell = F.struct(F.col("_t").alias("t"), "rows", "n", "x", "y", "vx", "vxy")
-    grouped = cells.groupBy(*by, entity).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
-    grouped = grouped.withColumn("rows", F.aggregate("cells", F.lit(0).cast("long"), lambda a, c: a + c["rows"]))
-    grouped = grouped.withColumn("cells", F.filter("cells", lambda c: c["n"] > 0))
-    grouped = grouped.withColumn("n", _total("cells", lambda c: c["n"]))
-    centred = grouped.withColumn("mx", F.try_divide(_total("cells", lambda c: c["n"] * c["x"]), F.col("n")))
-    centred = centred.withColumn("my", F.try_divide(_total("cells", lambda c: c["n"] * c["y"]), F.col("n")))
-    return centred.withColumn(
-        "cells",
-        F.transform(
-            "cells",
-            lambda c: F.struct(
-                c["t"].alias("t"),
-                c["n"].alias("n"),
-                (c["x"] - F.col("mx")).alias("x"),
-                (c["y"] - F.col("my")).alias("y"),
-                c["vx"].alias("vx"),
-                c["vxy"].alias("vxy"),
-            ),
-        ),
-    ).drop("mx", "my")
+    grouped = cells.groupBy(*by, entity).agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+    used = F.filter("cells", lambda c: c["n"] > 0)
+    centred = _let(_means("used"), lambda m: F.transform("used", lambda c: _less(c, m, "t")))
+    return grouped.withColumn("used", used).select(
+        *by,
+        entity,
+        F.aggregate("cells", F.lit(0).cast("long"), lambda acc, c: acc + c["rows"]).alias("rows"),
+        centred.alias("cells"),
+    )
 
 
 def _period_sums(entities: DataFrame, by: list[str]) -> DataFrame:
@@ -94,11 +120,10 @@ def _pattern_pairs(entities: DataFrame, by: list[str]) -> DataFrame:
     """Per (panel, period, period): how often entities link the two periods."""
     pattern = F.transform("cells", lambda c: F.struct(c["t"].alias("t"), c["n"].alias("n")))
     patterns = (
-        entities.where(F.size("cells") > 0)
-        .select(*by, pattern.alias("pattern"))
+        entities.select(*by, pattern.alias("pattern"))
         .groupBy(*by, "pattern")
         .agg(F.count(F.lit(1)).alias("times"))
-        .withColumn("share", F.col("times") / _total("pattern", lambda c: c["n"]))
+        .withColumn("share", F.try_divide(F.col("times"), _total("pattern", lambda c: c["n"])))
     )
     one = patterns.select(*by, "pattern", "share", F.explode("pattern").alias("a"))
     two = one.select(*by, "share", "a", F.explode("pattern").alias("b"))
@@ -185,48 +210,49 @@ def fixed_effects(
     )
 
     # Residuals of each cell: take out the time effects, then what they leave of the
-    # entity mean.
-    joined = entities.join(solved, by)
-    timed = joined.withColumn(
-        "cells",
-        F.transform(
-            "cells",
-            lambda c: F.struct(
-                c["n"].alias("n"),
-                (c["x"] - F.element_at("effects", c["t"])["x"]).alias("x"),
-                (c["y"] - F.element_at("effects", c["t"])["y"]).alias("y"),
-                c["vx"].alias("vx"),
-                c["vxy"].alias("vxy"),
-            ),
-        ),
+    # entity mean; then one struct of sums per entity.
+    timed = F.transform(
+        "cells", lambda c: _let(F.element_at("effects", c["t"]), lambda effect: _less(c, effect))
     )
-    means = timed.withColumn("mx", F.try_divide(_total("cells", lambda c: c["n"] * c["x"]), F.col("n")))
-    means = means.withColumn("my", F.try_divide(_total("cells", lambda c: c["n"] * c["y"]), F.col("n")))
-
-    def score(c: Column) -> Column:
-        rx, ry = c["x"] - F.col("mx"), c["y"] - F.col("my")
-        return c["n"] * rx * (ry - F.col("slope0") * rx) + c["vxy"] - F.col("slope0") * c["vx"]
+    slope0 = F.col("slope0")
 
-    def square(c: Column) -> Column:
-        rx = c["x"] - F.col("mx")
-        return c["n"] * rx * rx + c["vx"]
+    def add(acc: Column, c: Column, mean: Column) -> Column:
+        return _let(
+            F.struct((c["x"] - mean["x"]).alias("x"), (c["y"] - mean["y"]).alias("y")),
+            lambda r: F.struct(
+                (acc["s"] + c["n"] * r["x"] * (r["y"] - slope0 * r["x"]) + c["vxy"] - slope0 * c["vx"]).alias("s"),
+                (acc["q"] + c["n"] * r["x"] * r["x"] + c["vx"]).alias("q"),
+            ),
+        )
 
-    scores = means.select(
-        *by,
-        "n_obs",
-        "n_entities",
-        "n_used",
-        "n_params",
-        "scale",
-        "slope0",
-        F.when(F.size("cells") > 0, 1).alias("used"),
-        _total("cells", score).alias("score"),
-        _total("cells", square).alias("square"),
+    nothing = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
+    entity_sums = _let(
+        timed,
+        lambda cells: _let(
+            _means(cells), lambda mean: F.aggregate(cells, nothing, lambda acc, c: add(acc, c, mean))
+        ),
+    )
+    # A few panels hold all entities, so each panel's entities are dealt over salts and the
+    # one solution row of the panel is repeated for each. The null-safe test adds no filter
+    # to one reader of the entity rows, which would stop it sharing their shuffle.
+    repeated = solved.withColumnsRenamed({c: f"_of_{c}" for c in by}).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    )
+    same = F.pmod(F.xxhash64(entity), F.lit(SALTS)).cast("int").eqNullSafe(F.col("_salt"))
+    for c in by:
+        same &= F.col(c) == F.col(f"_of_{c}")
+    scores = (
+        entities.join(repeated, same)
+        .select(
+            *by, "n_obs", "n_entities", "n_used", "n_params", "scale", "slope0",
+            (F.size("cells") > 0).alias("used"), entity_sums.alias("sums"),
+        )
+        .select("*", F.col("sums.s").alias("score"), F.col("sums.q").alias("square"))
     )
     s, q = F.col("score"), F.col("square")
     sums = scores.groupBy(*by).agg(
         *[F.max(c).alias(c) for c in ("n_obs", "n_entities", "n_used", "n_params", "scale", "slope0")],
-        F.count("used").alias("clusters"),
+        F.count_if("used").alias("clusters"),
         F.sum(s).alias("s"),
         F.sum(q).alias("q"),
         F.sum(s * s).alias("ss"),

@@ -63,9 +63,18 @@ def test_shares_read_their_input_once(spark, data):
         F.sum("o_totalprice").alias("valor")
     )
     shared = compare.share_of_total(cells, ["ano", "o_custkey"])
-    shared.collect()
-    final = shared._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert final.count("FileScan parquet") == 1
+    names = spark.range(200).selectExpr("id AS o_custkey", "concat('n', id) AS n", "concat('g', id % 5) AS g")
+    grains = compare.expand_entities(shared, names, "o_custkey", "n", "g", by=("ano", "o_orderpriority"))
+    for df in (shared, grains):
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert final.count("FileScan parquet") == 1
+
+
+def test_null_keys_are_left_out_of_means(spark):
+    df = spark.createDataFrame([(None, "a", "h", 5.0), (2015, "a", "h", 1.0)], SPENT)
+    got = rows(compare.expand_entities(df, states(spark)), "entidade", "ano", "valor")
+    assert got == [("Aa", 2015, 1.0), ("Aa", None, 5.0), ("Brasil (média)", 2015, 1.0), ("Região R", 2015, 1.0)]
 
 
 def test_properties(spark):

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from civicpanel.operators.lookups import with_group_values
 from civicpanel.operators.measures import sum_by
 from civicpanel.plans import indicators as ind
 from civicpanel.sources.tables import read_table
@@ -376,21 +377,29 @@ def development(spark: SparkSession, d: str) -> DataFrame:
 CTES["elections"] = """
   SELECT ano, sigla_uf, substr(o_orderpriority, 1, 1)::INTEGER AS turno,
          CASE WHEN o_orderstatus = 'P' THEN 'senador' ELSE 'governador' END AS cargo,
-         CASE WHEN valor > 49250000 THEN 'eleito' ELSE 'nao eleito' END AS resultado,
-         c_mktsegment || '  ' || c_name AS nome_candidato, 'P' || regiao AS sigla_partido
+         CASE WHEN valor = max(valor) OVER (PARTITION BY ano, sigla_uf,
+                CASE WHEN regiao = 'ASIA' THEN o_orderpriority ELSE '' END)
+              THEN 'eleito' ELSE 'nao eleito' END AS resultado,
+         c_mktsegment || '  ' || sigla_uf AS nome_candidato, 'P' || regiao AS sigla_partido
   FROM placed"""
 
 
 @shared
 def elections(spark: SparkSession, d: str) -> DataFrame:
-    """Orders as candidacies; the most valuable ones are elected."""
-    return placed(spark, d).select(
+    """Orders as candidacies: the most valuable one of a state and year is elected.
+
+    One region elects one per priority, which gives repeated people and conflicts.
+    """
+    seat = F.when(F.col("regiao") == "ASIA", F.col("o_orderpriority")).otherwise("")
+    rows = placed(spark, d).withColumn("vaga", seat)
+    ranked = with_group_values(rows, ["ano", "sigla_uf", "vaga"], maior=F.max("valor"))
+    return ranked.select(
         "ano",
         "sigla_uf",
         F.substring("o_orderpriority", 1, 1).cast("int").alias("turno"),
         F.when(F.col("o_orderstatus") == "P", "senador").otherwise("governador").alias("cargo"),
-        F.when(F.col("valor") > 49_250_000, "eleito").otherwise("nao eleito").alias("resultado"),
-        F.concat("c_mktsegment", F.lit("  "), "c_name").alias("nome_candidato"),
+        F.when(F.col("valor") == F.col("maior"), "eleito").otherwise("nao eleito").alias("resultado"),
+        F.concat("c_mktsegment", F.lit("  "), "sigla_uf").alias("nome_candidato"),
         F.concat(F.lit("P"), "regiao").alias("sigla_partido"),
     )
 

@@ -359,19 +359,17 @@ def preview_top_n(spark, d):
 
 @query(
     "set_difference",
-    with_ctes(
-        "placed",
-        select="""SELECT ano, sigla_uf FROM placed WHERE o_orderpriority = '1-URGENT' AND valor > 45000000
-          EXCEPT SELECT ano, sigla_uf FROM placed WHERE o_orderpriority = '5-LOW' AND valor > 45000000""",
-    ),
+    """SELECT o_custkey, year(o_orderdate)::INTEGER AS ano FROM orders WHERE o_orderpriority = '1-URGENT'
+       EXCEPT SELECT o_custkey, year(o_orderdate)::INTEGER FROM orders WHERE o_orderpriority = '5-LOW'""",
 )
 def set_difference(spark, d):
-    rows = src.placed(spark, d).where(F.col("valor") > 45_000_000)
+    """Customers with an urgent order in a year and no low one."""
+    rows = src.table(spark, d, "orders").withColumn("ano", F.year("o_orderdate"))
 
     def of(priority):
-        return rows.where(F.col("o_orderpriority") == priority).select("ano", "sigla_uf")
+        return rows.where(F.col("o_orderpriority") == priority).select("o_custkey", "ano")
 
-    return lookups.without_known(of("1-URGENT"), of("5-LOW"), ["ano", "sigla_uf"])
+    return lookups.without_known(of("1-URGENT"), of("5-LOW"), ["o_custkey", "ano"])
 
 
 @query(
