@@ -1,43 +1,34 @@
 """Codes, labels and catalogue entries that results must carry as they are."""
 
-# --- fixed values: state code -> (abbreviation, name) -------------------------
+# --- fixed values: state code -> (abbreviation, name, region) -----------------
 STATES = {
-    "11": ("RO", "Rondônia"),
-    "12": ("AC", "Acre"),
-    "13": ("AM", "Amazonas"),
-    "14": ("RR", "Roraima"),
-    "15": ("PA", "Pará"),
-    "16": ("AP", "Amapá"),
-    "17": ("TO", "Tocantins"),
-    "21": ("MA", "Maranhão"),
-    "22": ("PI", "Piauí"),
-    "23": ("CE", "Ceará"),
-    "24": ("RN", "Rio Grande do Norte"),
-    "25": ("PB", "Paraíba"),
-    "26": ("PE", "Pernambuco"),
-    "27": ("AL", "Alagoas"),
-    "28": ("SE", "Sergipe"),
-    "29": ("BA", "Bahia"),
-    "31": ("MG", "Minas Gerais"),
-    "32": ("ES", "Espírito Santo"),
-    "33": ("RJ", "Rio de Janeiro"),
-    "35": ("SP", "São Paulo"),
-    "41": ("PR", "Paraná"),
-    "42": ("SC", "Santa Catarina"),
-    "43": ("RS", "Rio Grande do Sul"),
-    "50": ("MS", "Mato Grosso do Sul"),
-    "51": ("MT", "Mato Grosso"),
-    "52": ("GO", "Goiás"),
-    "53": ("DF", "Distrito Federal"),
-}
-
-# --- fixed values: first digit of the state code -> region ---------------------
-REGION_BY_CODE_DIGIT = {
-    "1": "Norte",
-    "2": "Nordeste",
-    "3": "Sudeste",
-    "4": "Sul",
-    "5": "Centro-Oeste",
+    "11": ("RO", "Rondônia", "Norte"),
+    "12": ("AC", "Acre", "Norte"),
+    "13": ("AM", "Amazonas", "Norte"),
+    "14": ("RR", "Roraima", "Norte"),
+    "15": ("PA", "Pará", "Norte"),
+    "16": ("AP", "Amapá", "Norte"),
+    "17": ("TO", "Tocantins", "Norte"),
+    "21": ("MA", "Maranhão", "Nordeste"),
+    "22": ("PI", "Piauí", "Nordeste"),
+    "23": ("CE", "Ceará", "Nordeste"),
+    "24": ("RN", "Rio Grande do Norte", "Nordeste"),
+    "25": ("PB", "Paraíba", "Nordeste"),
+    "26": ("PE", "Pernambuco", "Nordeste"),
+    "27": ("AL", "Alagoas", "Nordeste"),
+    "28": ("SE", "Sergipe", "Nordeste"),
+    "29": ("BA", "Bahia", "Nordeste"),
+    "31": ("MG", "Minas Gerais", "Sudeste"),
+    "32": ("ES", "Espírito Santo", "Sudeste"),
+    "33": ("RJ", "Rio de Janeiro", "Sudeste"),
+    "35": ("SP", "São Paulo", "Sudeste"),
+    "41": ("PR", "Paraná", "Sul"),
+    "42": ("SC", "Santa Catarina", "Sul"),
+    "43": ("RS", "Rio Grande do Sul", "Sul"),
+    "50": ("MS", "Mato Grosso do Sul", "Centro-Oeste"),
+    "51": ("MT", "Mato Grosso", "Centro-Oeste"),
+    "52": ("GO", "Goiás", "Centro-Oeste"),
+    "53": ("DF", "Distrito Federal", "Centro-Oeste"),
 }
 
 # --- fixed values: indicator catalogue (id, name, unit, source, period) --------
@@ -78,12 +69,20 @@ MISSING_MARKS = ("-", "...", "X", "..")
 YEAR_CLASSIFICATION = "1933"
 
 # --- fixed values: reference year -> category id of that classification --------
-# 2013-2060 run in sequence from 49029; the earlier ids follow no rule.
 YEAR_CATEGORIES = {
     2000: "116338", 2001: "116336", 2002: "116335", 2003: "116334", 2004: "116332",
     2005: "116331", 2006: "116330", 2007: "116329", 2008: "116327", 2009: "119270",
-    2010: "4336", 2011: "12037", 2012: "13242",
-    **{year: str(49029 + year - 2013) for year in range(2013, 2061)},
+    2010: "4336", 2011: "12037", 2012: "13242", 2013: "49029", 2014: "49030",
+    2015: "49031", 2016: "49032", 2017: "49033", 2018: "49034", 2019: "49035",
+    2020: "49036", 2021: "49037", 2022: "49038", 2023: "49039", 2024: "49040",
+    2025: "49041", 2026: "49042", 2027: "49043", 2028: "49044", 2029: "49045",
+    2030: "49046", 2031: "49047", 2032: "49048", 2033: "49049", 2034: "49050",
+    2035: "49051", 2036: "49052", 2037: "49053", 2038: "49054", 2039: "49055",
+    2040: "49056", 2041: "49057", 2042: "49058", 2043: "49059", 2044: "49060",
+    2045: "49061", 2046: "49062", 2047: "49063", 2048: "49064", 2049: "49065",
+    2050: "49066", 2051: "49067", 2052: "49068", 2053: "49069", 2054: "49070",
+    2055: "49071", 2056: "49072", 2057: "49073", 2058: "49074", 2059: "49075",
+    2060: "49076",
 }
 
 # --- fixed values: source filters ----------------------------------------------

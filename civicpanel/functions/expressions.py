@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column
@@ -50,9 +51,7 @@ def round_half_even(value: str | Column, digits: int) -> Column:
 def years_between(moment: str | Column, first: int, last: int) -> Column:
     """Inclusive year range on a date or timestamp, in a form parquet can push down."""
     moment = col(moment)
-    return (moment >= F.lit(f"{first}-01-01").cast("timestamp_ntz")) & (
-        moment < F.lit(f"{last + 1}-01-01").cast("timestamp_ntz")
-    )
+    return (moment >= F.lit(date(first, 1, 1))) & (moment < F.lit(date(last + 1, 1, 1)))
 
 
 def subtotal_code(code: str | Column, pattern: str, grand_total: str) -> Column:

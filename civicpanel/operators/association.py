@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicpanel.functions.expressions import round_half_even
+from civicpanel.functions.expressions import is_value, round_half_even
 
 
 def lagged_pairs(cause: DataFrame, effect: DataFrame, on: Sequence[str], time: str, lag: int) -> DataFrame:
@@ -28,8 +28,8 @@ def pearson_by(
     n counts rows, the coefficient uses complete pairs. A constant series keeps its
     row with a NULL coefficient; the built-in ``corr`` would raise there.
     """
-    xs = F.when(F.col(y).isNotNull(), F.col(x).cast("double"))
-    ys = F.when(F.col(x).isNotNull(), F.col(y).cast("double"))
+    complete = is_value(x) & is_value(y)
+    xs, ys = (F.when(complete, F.col(c).cast("double")) for c in (x, y))
     r = F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
     return (
         pairs.groupBy(*by)

@@ -63,9 +63,10 @@ def rate(
 ) -> DataFrame:
     """num / den x scale. Left join: no denominator gives a NULL rate.
 
-    Repeated denominator rows are merged; two different values for a key raise.
+    Repeated denominator rows are merged; two different values for a key raise. Rows
+    without a key, such as those of an unknown state code, match nothing.
     """
-    unique = one_per_key(den, on, [den_col])
+    unique = one_per_key(den.dropna(subset=list(on)), on, [den_col])
     return num.join(unique, list(on), how).withColumn(name, safe_ratio(num_col, den_col, scale))
 
 

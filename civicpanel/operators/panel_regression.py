@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from civicpanel import fixed_values as fv
-from civicpanel.functions.expressions import round_half_even
+from civicpanel.functions.expressions import is_value, round_half_even
 
 NEGLIGIBLE = 1e-12
 SALTS = 64
@@ -73,7 +73,7 @@ def _entity_rows(panel: DataFrame, by: list[str], entity: str, time: str, x: str
     Repeated rows of a cell are merged first, before any shuffle, into mean and inner
     deviations; an entity then holds at most one cell per period.
     """
-    complete = F.col(x).isNotNull() & F.col(y).isNotNull()
+    complete = is_value(x) & is_value(y)
     xs, ys = (F.when(complete, F.col(c).cast("double")) for c in (x, y))
     for key in (*by, entity, time):
         panel = panel.where(F.col(key).isNotNull())
@@ -143,7 +143,8 @@ def _solve(by: list[str]):
         out["n_used"] = periods["weight"].sum()
         out["n_params"] = int(sums["used"].sum()) + len(periods)
         out["slope0"], out["scale"], out["effects"] = None, None, []
-        if len(periods):
+        target = periods[["bx", "by"]].to_numpy()
+        if len(periods) and np.isfinite(target).all():
             place = {t: i for i, t in enumerate(periods["t"])}
             system = np.diag(periods["weight"].to_numpy())
             np.subtract.at(
@@ -151,7 +152,6 @@ def _solve(by: list[str]):
                 (links["t"].map(place).to_numpy(), links["s"].map(place).to_numpy()),
                 links["link"].to_numpy(),
             )
-            target = periods[["bx", "by"]].to_numpy()
             effects = np.linalg.lstsq(system, target, rcond=1e-11)[0]
             sxx, sxy = periods["sxx"].sum(), periods["sxy"].sum()
             left = sxx - target[:, 0] @ effects[:, 0]
@@ -275,7 +275,7 @@ def fixed_effects(
         "n_entities",
         enough.alias("enough"),
         F.when(usable, F.col("slope0") + shift).alias("slope"),
-        F.when(usable, F.sqrt(factor * F.greatest(meat, F.lit(0.0))) / F.col("q")).alias("error"),
+        F.when(usable, F.try_divide(F.sqrt(factor * F.greatest(meat, F.lit(0.0))), F.col("q"))).alias("error"),
     )
     tested = estimated.withColumn("p", two_sided_p(F.try_divide("slope", "error")))
     effect, p = F.col("slope"), F.col("p")

@@ -33,11 +33,7 @@ def literal_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
 
 
 def state_dim(spark: SparkSession) -> DataFrame:
-    rows = [
-        (code, abbreviation, name, fv.REGION_BY_CODE_DIGIT[code[0]])
-        for code, (abbreviation, name) in fv.STATES.items()
-    ]
-    return literal_frame(spark, rows, schemas.STATE_DIM)
+    return literal_frame(spark, [(code, *rest) for code, rest in fv.STATES.items()], schemas.STATE_DIM)
 
 
 def indicator_dim(spark: SparkSession) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from civicpanel import schemas
 
@@ -37,6 +38,15 @@ def read_if_present(
         raise
 
 
+def typed(table: DataFrame, schema: str) -> DataFrame:
+    """Columns of a text table by name, cast to the schema; others are dropped.
+
+    A schema given to the CSV reader would be matched by position instead.
+    """
+    fields = StructType.fromDDL(schema).fields
+    return table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def read_indicator_csvs(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], list[str]]:
     """Per-indicator CSV tables of a folder: the present ones, and names of the absent.
 
@@ -44,11 +54,11 @@ def read_indicator_csvs(spark: SparkSession, folder: str) -> tuple[dict[str, Dat
     """
     found, absent = {}, []
     for name, schema in schemas.INDICATOR_TABLES.items():
-        table = read_if_present(spark, f"{folder}/{name}.csv", schema, "csv", header="true")
+        table = read_if_present(spark, f"{folder}/{name}.csv", source="csv", header="true")
         if table is None:
             absent.append(name)
         else:
-            found[name] = table
+            found[name] = typed(table, schema)
     if not set(found) - {"governadores_uf"}:
         raise FileNotFoundError(f"no indicator table under {folder}")
     return found, absent

@@ -181,6 +181,16 @@ def test_per_capita_and_population(spark):
     ]
 
 
+def test_unknown_state_codes_do_not_clash(spark):
+    per_head = spark.createDataFrame(
+        [(2015, "11", 10.0), (2015, "98", 1.0), (2015, "99", 2.0)], "ano INT, cod_uf STRING, populacao DOUBLE"
+    )
+    links = spark.createDataFrame([(2015, "RO", "1")], schemas.EMPLOYMENT_LINKS)
+    population = ind.state_population(per_head, state_dim(spark))
+    got = ind.formal_employment(links, population, 2015, 2015)
+    assert rows(got, "sigla_uf", "vinculos_por_mil_habitantes") == [("RO", 100.0)]
+
+
 def test_school_and_development_index(spark):
     schools = spark.createDataFrame(
         [

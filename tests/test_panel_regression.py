@@ -101,9 +101,28 @@ def test_exact_slope_and_minimum(spark):
 
 
 def test_no_variation_left_gives_no_estimate(spark):
-    data = [("a", f"u{i}", 2000 + t, float(i + t), float(i * t)) for i in range(6) for t in range(6)]
-    got = fixed_effects(spark.createDataFrame(data, SCHEMA), ["combo"], "uf", "ano", "x", "y").collect()[0]
-    assert (got["efeito"], got["valor_p"], got["interpretacao"]) == (None, None, fv.VERDICT_FAILED)
+    for x in (lambda i, t: i + t, lambda i, t: 7, lambda i, t: i, lambda i, t: 0):
+        data = [("a", f"u{i}", 2000 + t, float(x(i, t)), float(i * t)) for i in range(6) for t in range(6)]
+        got = fixed_effects(spark.createDataFrame(data, SCHEMA), ["combo"], "uf", "ano", "x", "y").collect()[0]
+        assert (got["efeito"], got["valor_p"], got["interpretacao"]) == (None, None, fv.VERDICT_FAILED)
+
+
+def test_perfect_fit_and_flat_outcome(spark):
+    """No residual at all, and an outcome that never moves: no division error either way."""
+    flat = [(c, e, t, x, 1.0) for c, e, t, x, _ in line_panel()]
+    got = fixed_effects(spark.createDataFrame(flat, SCHEMA), ["combo"], "uf", "ano", "x", "y").collect()[0]
+    assert got["efeito"] == 0.0 and got["n_obs"] == 30
+
+
+def test_disconnected_panel(spark):
+    """Two groups of entities that share no year: dummies are redundant, the slope is not."""
+    early = noisy("d", 6, 4, 21)
+    late = [(c, "v" + e, t + 50, x, y) for c, e, t, x, y in noisy("d", 6, 4, 22)]
+    df = spark.createDataFrame(early + late, SCHEMA)
+    got = fixed_effects(df, ["combo"], "uf", "ano", "x", "y", digits=None).collect()[0]
+    beta, se, _ = explicit_dummies(early + late)
+    assert got["efeito"] == pytest.approx(beta, rel=1e-9)
+    assert got["erro_padrao"] == pytest.approx(se, rel=1e-8)
 
 
 def test_missing_value_fails_unless_dropped(spark):
@@ -116,6 +135,14 @@ def test_missing_value_fails_unless_dropped(spark):
     assert dropped["efeito"] == pytest.approx(explicit_dummies(data)[0], rel=1e-9)
 
 
+def test_infinite_and_nan_values_give_no_estimate(spark):
+    data = noisy("m", 10, 6, 5)
+    for bad in (float("inf"), float("nan")):
+        broken = [*data[1:], ("m", "u000", 2000, bad, 1.0)]
+        got = fixed_effects(spark.createDataFrame(broken, SCHEMA), ["combo"], "uf", "ano", "x", "y").collect()[0]
+        assert (got["n_obs"], got["efeito"], got["interpretacao"]) == (60, None, fv.VERDICT_FAILED)
+
+
 def test_panels_are_independent_and_verdicts(spark):
     strong = [("up", e, t, x, 2 * x + y * 0.01) for _, e, t, x, y in noisy("", 12, 6, 7)]
     down = [("down", e, t, x, -2 * x + y * 0.01) for _, e, t, x, y in noisy("", 12, 6, 8)]

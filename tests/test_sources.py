@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 import pytest
@@ -177,6 +178,21 @@ def test_indicator_csvs(spark, tmp_path):
     found, absent = tables.read_indicator_csvs(spark, str(tmp_path))
     assert list(found) == ["gini_uf"] and len(absent) == 11
     assert rows(star.consolidate(found, frames.state_dim(spark))) == [(2015, "RO", "2_gini", "", 0.5)]
+    # Written by another tool: one file, other column order, one column more.
+    (tmp_path / "ideb_uf.csv").write_text(
+        "sigla_uf,ano,ideb,taxa_aprovacao,ensino,anos_escolares,nota\nAC,2015,4.0,,médio,todos,x\n"
+    )
+    (tmp_path / "governadores_uf.csv").write_text(
+        "ano_eleicao,sigla_uf,nome_candidato,sigla_partido,inicio_mandato,fim_mandato,requer_revisao_manual\n"
+        "2014,AC,A,P,2015-01-01,2018-12-31,False\n2014,AM,B,P,,,True\n"
+    )
+    found, _ = tables.read_indicator_csvs(spark, str(tmp_path))
+    assert rows(star.consolidate(found, frames.state_dim(spark)), "id_indicador", "dimensao", "valor") == [
+        ("2_gini", "", 0.5), ("8_ideb", "médio_todos", 4.0),
+    ]
+    assert rows(found["governadores_uf"], "sigla_uf", "fim_mandato", "requer_revisao_manual") == [
+        ("AC", dt.date(2018, 12, 31), False), ("AM", None, True),
+    ]
 
 
 def test_database_options():

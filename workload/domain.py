@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from civicpanel import fixed_values as fv
 from civicpanel.operators import compare, longform, tenure
 from civicpanel.plans import indicators as ind
 from civicpanel.plans import star
@@ -238,19 +239,20 @@ def indicator_infant_mortality_official(spark, d):
 
 @query(
     "nested_metadata_variables",
-    """SELECT DISTINCT p_type AS tabela, p_brand AS id, p_name AS nome, 'n' AS unidade,
-         lower(p_name) LIKE '%per capita%' OR lower(p_name) LIKE '%população%'
-           OR lower(p_name) LIKE '%populacao%' AS populacional
-       FROM part""",
+    """SELECT p_partkey::VARCHAR AS tabela, id, nome, unidade, lower(nome) LIKE '%per capita%' AS populacional
+       FROM (SELECT p_partkey, 'a' AS id, p_name AS nome, p_type AS unidade FROM part
+             UNION ALL SELECT p_partkey, 'b', p_brand || ' Per Capita', NULL FROM part)""",
 )
 def nested_metadata_variables(spark, d):
-    """One metadata text per part type and brand; its variables are the distinct names."""
-    named = src.table(spark, d, "part").select("p_type", "p_brand", "p_name").distinct()
-    variable = F.struct(F.col("p_brand").alias("id"), F.col("p_name").alias("nome"), F.lit("n").alias("unidade"))
-    texts = named.groupBy("p_type", "p_brand").agg(F.collect_list(variable).alias("variaveis"))
-    json = F.to_json(F.struct(F.col("p_type").alias("id"), F.col("variaveis")))
-    parsed = nested.parse_metadata(texts.select(F.col("p_type").alias("tabela"), json.alias("json")), "json", "tabela")
-    return nested.metadata_variables(parsed, "tabela")
+    """One metadata text per part, with two variables; the second has no unit."""
+    name, brand = F.col("p_name"), F.concat("p_brand", F.lit(" Per Capita"))
+    variables = F.array(
+        F.struct(F.lit("a").alias("id"), name.alias("nome"), F.col("p_type").alias("unidade")),
+        F.struct(F.lit("b").alias("id"), brand.alias("nome"), F.lit(None).cast("string").alias("unidade")),
+    )
+    json = F.to_json(F.struct(F.lit("t").alias("id"), variables.alias("variaveis")))
+    texts = src.table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("tabela"), json.alias("json"))
+    return nested.metadata_variables(nested.parse_metadata(texts, "json", "tabela"), "tabela")
 
 
 @query(
@@ -423,7 +425,17 @@ def overlapping_terms(spark, d):
     return tenure.overlapping_years(governor_table(spark, d))
 
 
-@query("catalogue_of_fact")
+CATALOGUE = ", ".join(str(row) for row in fv.INDICATORS)
+
+
+@query(
+    "catalogue_of_fact",
+    with_ctes(
+        *ORDER_CTES,
+        select=f"""SELECT c.*, linhas FROM (VALUES {CATALOGUE}) c(id_indicador, nome, unidade, fonte, periodicidade)
+          LEFT JOIN (SELECT id_indicador, count(*) AS linhas FROM ({ORDER_FACT}) GROUP BY 1) USING (id_indicador)""",
+    ),
+)
 def catalogue_of_fact(spark, d):
     """Rows per catalogued indicator, absent ones with NULL."""
     counts = star.dry_run_by_indicator(order_fact(spark, d))
