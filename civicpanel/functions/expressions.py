@@ -144,7 +144,10 @@ def first_map_value(mapping: str | Column) -> Column:
 # --- checks --------------------------------------------------------------------
 
 
-def require(value: str | Column, message: str) -> Column:
-    """The value, or an error at run time when it is NULL."""
-    value = col(value)
-    return F.coalesce(value, F.raise_error(F.lit(message)))
+def require(value: str | Column, message: str, kind: str = "int") -> Column:
+    """The value, or an error at run time when it is NULL.
+
+    The last alternative is never reached; it tells Catalyst that the result is not
+    nullable, so joins add no null filter on it.
+    """
+    return F.coalesce(col(value), F.raise_error(F.lit(message)), F.lit(0).cast(kind))
