@@ -116,19 +116,19 @@ def increments(
     nothing = F.lit(None).cast(dict(df.dtypes)[value])
     # seen: 0 only as previous, 1 here with a value, 2 here without one.
     as_current = F.struct(
-        t.alias(time), v.alias("now"), nothing.alias("before"), F.when(v.isNull(), 2).otherwise(1).alias("seen")
+        t.alias(time), v.alias("_now"), nothing.alias("_before"), F.when(v.isNull(), 2).otherwise(1).alias("_seen")
     )
     as_previous = F.struct(
-        (t + 1).alias(time), nothing.alias("now"), v.alias("before"), F.lit(0).alias("seen")
+        (t + 1).alias(time), nothing.alias("_now"), v.alias("_before"), F.lit(0).alias("_seen")
     )
     pairs = rows.select(*keys, F.inline(F.array(as_current, as_previous)))
     steps = pairs.groupBy(*keys, time).agg(
-        F.min("now").alias("now"), F.max("before").alias("before"), F.max("seen").alias("seen")
+        F.min("_now").alias("_now"), F.max("_before").alias("_before"), F.max("_seen").alias("_seen")
     )
-    kept = steps.where((F.col("seen") > 0) & F.col("before").isNotNull())
+    kept = steps.where((F.col("_seen") > 0) & F.col("_before").isNotNull())
     if first is not None:
         kept = kept.where(F.col(time) >= first)
-    step = F.when(F.col("seen") == 1, at_least(F.col("now") - F.col("before")))
+    step = F.when(F.col("_seen") == 1, at_least(F.col("_now") - F.col("_before")))
     return kept.select(*keys, time, step.alias(name))
 
 

@@ -3,9 +3,10 @@ import math
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from civicpanel import fixed_values as fv
-from civicpanel.operators.panel_regression import fixed_effects
+from civicpanel.operators.panel_regression import fixed_effects, two_sided_p
 
 SCHEMA = "combo STRING, uf STRING, ano INT, x DOUBLE, y DOUBLE"
 
@@ -131,6 +132,10 @@ def test_missing_value_fails_unless_dropped(spark):
     df = spark.createDataFrame(with_gap, SCHEMA)
     failed = fixed_effects(df, ["combo"], "uf", "ano", "x", "y").collect()[0]
     assert (failed["n_obs"], failed["efeito"], failed["interpretacao"]) == (61, None, fv.VERDICT_FAILED)
+    gone = df.union(spark.createDataFrame([("m", "u999", 2001, None, None)], SCHEMA))
+    still = fixed_effects(gone, ["combo"], "uf", "ano", "x", "y", on_missing="drop", digits=None).collect()[0]
+    assert (still["n_obs"], still["n_entities"]) == (62, 11)
+    assert still["erro_padrao"] == pytest.approx(explicit_dummies(data)[1], rel=1e-8)
     dropped = fixed_effects(df, ["combo"], "uf", "ano", "x", "y", on_missing="drop", digits=None).collect()[0]
     assert dropped["efeito"] == pytest.approx(explicit_dummies(data)[0], rel=1e-9)
 
@@ -143,6 +148,18 @@ def test_infinite_and_nan_values_give_no_estimate(spark):
         assert (got["n_obs"], got["efeito"], got["interpretacao"]) == (60, None, fv.VERDICT_FAILED)
 
 
+def test_any_column_names_and_time_types(spark):
+    data = noisy("m", 10, 6, 5)
+    df = spark.createDataFrame(data, SCHEMA).selectExpr(
+        "combo AS t", "'k' AS rows", "uf AS x", "make_date(ano, 1, 1) AS entity", "x AS link", "y AS s"
+    )
+    got = fixed_effects(df, ["t", "rows"], "x", "entity", "link", "s", digits=None)
+    assert got.columns[:2] == ["t", "rows"]
+    row = got.collect()[0]
+    assert (row["t"], row["rows"]) == ("m", "k")
+    assert row["efeito"] == pytest.approx(explicit_dummies(data)[0], rel=1e-9)
+
+
 def test_panels_are_independent_and_verdicts(spark):
     strong = [("up", e, t, x, 2 * x + y * 0.01) for _, e, t, x, y in noisy("", 12, 6, 7)]
     down = [("down", e, t, x, -2 * x + y * 0.01) for _, e, t, x, y in noisy("", 12, 6, 8)]
@@ -169,3 +186,13 @@ def test_source_is_read_once(spark, data):
     plan = out._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
     assert final.count("FileScan parquet") == 1, plan
+
+
+def test_p_value(spark):
+    values = [0.0, 1e-9, 0.1, -0.5, 1.0, 1.959963984540054, -2.5, 4.0, 6.0, 8.0, 8.4, 9.0, 40.0, 1e9, None]
+    df = spark.createDataFrame([(v,) for v in values], "t DOUBLE").select("t", two_sided_p(F.col("t")).alias("p"))
+    for row in df.collect():
+        if row.t is None:
+            assert row.p is None
+        else:
+            assert row.p == pytest.approx(math.erfc(abs(row.t) / math.sqrt(2)), abs=1e-14)
