@@ -44,22 +44,19 @@ def measures_to_long(
 ) -> DataFrame:
     """Several measures of one table in one pass (column -> (indicator id, dimension)).
 
-    A single measure keeps its id as a literal, which a filter on the id can prune.
+    Measures of one indicator keep its id as a literal, so that a filter on another id
+    drops the whole branch from the plan.
     """
-    if len(measures) == 1:
-        ((column, (indicator, dimension)),) = measures.items()
-        return to_long(df, indicator, column, time, entity, dimension)
-    rows = [
-        F.struct(
-            F.lit(indicator).alias("id_indicador"),
-            F.lit(dimension).alias("dimensao"),
-            F.col(column).cast("double").alias("valor"),
-        )
-        for column, (indicator, dimension) in measures.items()
-    ]
-    return df.select(
-        F.col(time).alias("ano"), F.col(entity).alias("sigla_uf"), F.inline(F.array(*rows))
-    ).where(is_value("valor"))
+    ids = {indicator for indicator, _ in measures.values()}
+    shared = [F.lit(i).alias("id_indicador") for i in ids] if len(ids) == 1 else []
+    rows = []
+    for column, (indicator, dimension) in measures.items():
+        own = [] if shared else [F.lit(indicator).alias("id_indicador")]
+        value = F.col(column).cast("double").alias("valor")
+        rows.append(F.struct(*own, F.lit(dimension).alias("dimensao"), value))
+    keys = [F.col(time).alias("ano"), F.col(entity).alias("sigla_uf")]
+    long = df.select(*keys, *shared, F.inline(F.array(*rows)))
+    return long.where(is_value("valor")).select(*LONG_COLUMNS)
 
 
 def unpivot_measures(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str], name: str, value: str) -> DataFrame:

@@ -124,7 +124,12 @@ def regressions(
     as_share: bool = False,
     lag: int = 0,
 ) -> DataFrame:
-    """Fixed-effects slope of every function x indicator, always over all states."""
+    """Fixed-effects slope of every function x indicator, always over all states.
+
+    Rows of an unknown state match nothing below; dropping them first lets all readers
+    of the fact share its plan.
+    """
+    fact = fact.where(F.col("sigla_uf").isNotNull())
     spending = spending_rows(fact, functions, as_share)
     outcomes = selected_indicators(fact, catalogue, names)
     panel = lagged_pairs(

@@ -9,6 +9,7 @@ from civicpanel.functions import expressions as ex
 from civicpanel.operators import association, compare, filters, longform, lookups, quality, tenure
 from civicpanel.plans import pages
 from civicpanel.sources.frames import literal_frame
+from civicpanel.sources.tables import indicator_slice
 
 SPENT = "ano INT, sigla_uf STRING, dimensao STRING, valor DOUBLE"
 STATES = [("a", "Aa", "R"), ("b", "Bb", "R"), ("c", "Cc", "S")]
@@ -252,3 +253,17 @@ def test_indicator_options(spark):
     catalogue = literal_frame(spark, fv.INDICATORS, "id_indicador STRING, nome STRING, unidade STRING, f STRING, p STRING")
     options = pages.indicator_options(catalogue)
     assert options.count() == 9 and options.where("nome = 'IDHM'").isEmpty()
+
+
+def test_slice_of_one_indicator_drops_the_other_branches(spark, data):
+    """Only the table of the chosen indicator is read, also before the fact is stored."""
+    orders = spark.read.parquet(f"{data}/orders.parquet").selectExpr("1 AS ano", "'a' AS sigla_uf", "o_totalprice AS x")
+    customer = spark.read.parquet(f"{data}/customer.parquet").selectExpr("1 AS ano", "'a' AS sigla_uf", "c_acctbal AS y", "c_acctbal AS z")
+    fact = longform.stack(
+        [
+            longform.measures_to_long(orders, {"x": ("one", "")}),
+            longform.measures_to_long(customer, {"y": ("two", ""), "z": ("two", "d")}),
+        ]
+    )
+    plan = indicator_slice(fact, "one")._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_totalprice" in plan and "c_acctbal" not in plan
