@@ -6,13 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicpanel.llm import packing
+from civicpanel.llm import packing, sharding, token_counts
 from civicpanel.llm.common import tables, written
 from civicpanel.llm.registry import QUERIES, SQL, query
 
 __all__ = ["QUERIES", "SQL"]
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @query("op1_packing")
@@ -23,3 +24,24 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit(digests).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Greedy word pieces of every document by a public sentencepiece vocabulary."""
+    initial, inner = token_counts.sentencepiece_pieces(PIECE_BPE)
+    return token_counts.token_counts(tables(spark, folder, "documents"), initial, inner, prefix="▁")
+
+
+@query("op7_sharding")
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 40 shards whose row counts differ by one at most."""
+    text = F.col("text").cast("binary")
+    narrow = tables(spark, folder, "documents").select(
+        F.col("doc_id").cast("long"),
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
+        F.coalesce(F.crc32(text), F.lit(0)).cast("long").alias("text_crc32"),
+    )
+    return sharding.shuffled(narrow, 40).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
