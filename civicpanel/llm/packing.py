@@ -15,6 +15,7 @@ document id are packed as documents of their own. An empty table gives no pieces
 from __future__ import annotations
 
 import json
+import re
 from collections import deque
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ from civicpanel.llm.common import small_batches, text_or_empty, written
 
 WINDOW = 2048
 END_ID = 1
-#: Longer runs without white space are cut by the reference tokenizer, whose merge is not quadratic.
+#: Longer runs with or without white space are left to the ``tokenizers`` library, whose merge is not quadratic.
 LONG_WORD = 2000
 
 PIECES = T.StructType(
@@ -72,7 +73,6 @@ class Encoder:
 
     def __init__(self, path: str):
         import public_tokenizers
-        import regex
         import tiktoken
         from tokenizers import Tokenizer
 
@@ -86,12 +86,12 @@ class Encoder:
         self.fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
         self.special = set(special)
         self.exact = Tokenizer.from_file(path)
-        self.long_word = regex.compile(rf"\p{{L}}{{{LONG_WORD}}}|\p{{N}}{{{LONG_WORD}}}|[^\s\p{{L}}\p{{N}}]{{{LONG_WORD}}}|\s{{{LONG_WORD}}}")
+        self.long_space = re.compile(rf"\s{{{LONG_WORD}}}")
 
-    def ids(self, text: str) -> list[int]:
-        if len(text) >= LONG_WORD and self.long_word.search(text):
-            return self.exact.encode(text, add_special_tokens=False).ids
-        return self.fast.encode(text, allowed_special=self.special, disallowed_special=())
+    def ids(self, text: str) -> np.ndarray:
+        if len(text) >= LONG_WORD and (max(map(len, text.split()), default=0) >= LONG_WORD or self.long_space.search(text)):
+            return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return self.fast.encode_to_numpy(text, allowed_special=self.special, disallowed_special=())
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
@@ -106,7 +106,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id:
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"]):
-                ids = np.array([*encoder.ids(text), end_id], dtype="<u4")
+                ids = np.append(encoder.ids(text), np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     rows.append((doc, start, len(piece), piece.tobytes(), len(ids), part, seen[len(piece)]))
