@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicpanel.llm import packing, sharding, token_counts
+from civicpanel.llm import html_text, packing, sharding, token_counts
 from civicpanel.llm.common import tables, written
 from civicpanel.llm.registry import QUERIES, SQL, query
 
@@ -45,3 +45,9 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shuffled(narrow, 40).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query("op8_html_text")
+def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(tables(spark, folder, "pages"))
