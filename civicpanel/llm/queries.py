@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicpanel.llm import html_text, packing, sharding, token_counts
+from civicpanel.llm import fingerprints, html_text, packing, sharding, token_counts
 from civicpanel.llm.common import tables, written
 from civicpanel.llm.registry import QUERIES, SQL, query
 
@@ -51,3 +51,9 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(tables(spark, folder, "pages"))
+
+
+@query("op10_fingerprints")
+def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.edited_fingerprints(tables(spark, folder, "documents"))
