@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicpanel.llm import fingerprints, html_text, packing, sharding, token_counts
+from civicpanel.llm import fingerprints, html_text, packing, sharding, token_counts, toxicity
 from civicpanel.llm.common import tables, written
 from civicpanel.llm.registry import QUERIES, SQL, query
 
@@ -57,3 +57,11 @@ def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return fingerprints.edited_fingerprints(tables(spark, folder, "documents"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Category probabilities and verdict of every document, learnt from the labels table."""
+    docs = tables(spark, folder, "documents")
+    chain = toxicity.train(docs, tables(spark, folder, "labels"), toxicity.label_categories())
+    return toxicity.score(docs, chain)
