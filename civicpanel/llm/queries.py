@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicpanel.llm import fingerprints, html_text, packing, sharding, token_counts, toxicity
+from civicpanel.llm import fingerprints, html_text, packing, sharding, token_counts, toxicity, url_filter
 from civicpanel.llm.common import tables, written
 from civicpanel.llm.registry import QUERIES, SQL, query
 
@@ -65,3 +65,29 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = tables(spark, folder, "documents")
     chain = toxicity.train(docs, tables(spark, folder, "labels"), toxicity.label_categories())
     return toxicity.score(docs, chain)
+
+
+HOST_RULES = [
+    url_filter.HostRule("block", "net", "/"),
+    url_filter.HostRule("allow", "example.net", "/en/"),
+    url_filter.HostRule("block", "example.com", "/de/"),
+    url_filter.HostRule("allow", "org", "/fr/"),
+]
+
+#: Host words that label a URL as unwanted, beside the labels table.
+UNWANTED_WORDS = "bet bets bonus casino gambling jackpot loan loans lottery pharmacy pills poker porn viagra xxx".split()
+
+
+@query("op5_url_filter")
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict of every page's URL. Labels: low quality in the labels table, or an unwanted host word."""
+    pages = tables(spark, folder, "pages").select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
+    labels = tables(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("low"))
+    words = F.split(url_filter.host_of(F.col("url")), r"[^\p{L}\p{N}]+")
+    unwanted = F.coalesce(F.arrays_overlap(words, F.array(*map(F.lit, UNWANTED_WORDS))), F.lit(False))
+    labelled = (
+        pages.join(labels, "page_id", "left")
+        .where(F.col("low").isNotNull() | unwanted)
+        .select("url", (F.coalesce("low", F.lit(False)) | unwanted).alias("blocked"))
+    )
+    return url_filter.judge(pages, HOST_RULES, labelled)
