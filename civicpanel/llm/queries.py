@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicpanel.llm import fingerprints, html_text, packing, sharding, token_counts, toxicity, url_filter
+from civicpanel.llm import fingerprints, html_text, near_duplicates, packing, sharding, token_counts, toxicity, url_filter
 from civicpanel.llm.common import tables, written
 from civicpanel.llm.registry import QUERIES, SQL, query
 
@@ -91,3 +91,9 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
         .select("url", (F.coalesce("low", F.lit(False)) | unwanted).alias("blocked"))
     )
     return url_filter.judge(pages, HOST_RULES, labelled)
+
+
+@query("op4_near_duplicates")
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Component of every document under a similarity of 0.8 of two-word shingles."""
+    return near_duplicates.near_duplicates(tables(spark, folder, "documents"), words=2, percent=80)
