@@ -1,7 +1,7 @@
 """I-Match fingerprints over randomised lexicon subsets.
 
-Terms are lower-cased runs of letters, digits and underscores, hashed to a fixed number of
-buckets; document frequencies of the buckets are counted over all documents. The lexicon is
+Terms are lower-cased runs of ASCII letters, digits, underscores and other than ASCII
+characters, hashed to a fixed number of buckets; document frequencies of the buckets are counted over all documents. The lexicon is
 the band of buckets whose inverse document frequency ln(N / df) lies in ``idf_band``. It
 reaches the tasks as one bit per bucket, so its size does not depend on the corpus.
 
@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,36 +27,28 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicpanel.llm.common import mix64, small_batches, text_or_empty
+from civicpanel.llm.common import RunHashes, bytes_of, mix64, small_batches, text_or_empty
 
 BUCKETS = 1 << 22
 IDF_BAND = (2.0, 9.0)
 #: Lexicon subsets: so many draws, each in sizes of 1/2 to 1/2**SIZES of the lexicon.
 DRAWS, SIZES = 4, 8
 EMPTY = "0" * 8
-#: Distinct terms remembered by one task.
-REMEMBERED = 300_000
+#: Level of a draw: trailing zero bits, of as many as there are sizes. Where each level ends in a sorted draw.
+LEVELS = np.array([SIZES if not x else (x & -x).bit_length() - 1 for x in range(2**SIZES)], np.uint64)
+ENDS = np.arange(1, SIZES + 1, dtype=np.uint64) << np.uint64(32)
+#: ASCII letters, digits, the underscore and the bytes of all other characters.
+TERM_BYTES = np.array([b >= 128 or chr(b).isalnum() or b == ord("_") for b in range(256)])
 
-TERM = re.compile(r"\w+")
 
+class TermBuckets:
+    """Sorted distinct term buckets of a text."""
 
-class TermBuckets(dict):
-    """Bucket of each term met so far; forgets all of them when there are too many."""
+    def __init__(self):
+        self.hashes = RunHashes(TERM_BYTES)
 
-    def __missing__(self, term: str) -> int:
-        import xxhash
-
-        bucket = xxhash.xxh64_intdigest(term) % BUCKETS
-        if len(term) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[term] = bucket
-        return bucket
-
-    def of(self, text: str) -> np.ndarray:
-        """Sorted distinct buckets of a text."""
-        found = {self[t] for t in set(TERM.findall(text.lower()))}
-        return np.sort(np.fromiter(found, np.uint32, len(found)))
+    def __call__(self, text: str) -> np.ndarray:
+        return np.unique(self.hashes(bytes_of(text.lower())) % np.uint64(BUCKETS)).astype(np.uint32)
 
 
 def document_frequencies(docs: DataFrame) -> DataFrame:
@@ -67,7 +58,7 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
         buckets, seen = TermBuckets(), np.zeros(BUCKETS, np.int32)
         for batch in batches:
             for text in batch["text"]:
-                seen[buckets.of(text)] += 1
+                seen[buckets(text)] += 1
         found = np.flatnonzero(seen)
         for at in range(0, len(found), 100_000):
             some = found[at : at + 100_000]
@@ -94,21 +85,28 @@ class Fingerprinter:
         self.buckets = TermBuckets()
 
     def __call__(self, text: str) -> str:
-        terms = self.buckets.of(text)
+        terms = self.buckets(text)
         kept = terms[self.band[terms]]
         return self.of_terms(kept if len(kept) else terms)
 
     @staticmethod
     def of_terms(terms: np.ndarray) -> str:
-        """``terms``: sorted distinct buckets."""
+        """``terms``: distinct buckets. Each draw gives a term a level, and subset n has the levels above n.
+
+        Sorted by falling level, then by term, the subsets of a draw are beginnings of one list.
+        """
         hashes = []
         for draw in range(DRAWS):
-            left, bits = terms, mix64(terms, draw + 1)
-            for size in range(SIZES):
-                inside = (bits >> np.uint64(size)) & np.uint64(1) == 0
-                left, bits = left[inside], bits[inside]
-                hashes.append(f"{zlib.crc32(left.tobytes(), 1):08x}" if len(left) else EMPTY)
-        return "".join(hashes)
+            level = LEVELS[(mix64(terms, draw + 1) & np.uint64(2**SIZES - 1)).astype(np.intp)]
+            key = ((SIZES - level) << np.uint64(32)) | terms
+            key.sort()
+            ends, data = np.searchsorted(key, ENDS).tolist(), key.tobytes()
+            found, start = 1, 0
+            for end in ends:
+                found = zlib.crc32(data[8 * start : 8 * end], found)
+                hashes.append(b"%08x" % found if end else b"00000000")
+                start = end
+        return b"".join(hashes).decode()
 
 
 def likeness(a: str, b: str) -> float:

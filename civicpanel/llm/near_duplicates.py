@@ -25,8 +25,6 @@ NULL id. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import re
-import string
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicpanel.llm.common import mix64, small_batches, text_or_empty, written
+from civicpanel.llm.common import LOWER, STEP, RunHashes, bytes_of, mix64, small_batches, text_or_empty, written
 from civicpanel.llm.components import connected
 
 COLUMNS = 128
@@ -46,38 +44,22 @@ REGION = 256
 LIKELY = 0.6
 #: Shingles that one task compares.
 BLOCK = 2_000_000
-#: Distinct words remembered by one task.
-REMEMBERED = 300_000
 NO_ID = 2**63 - 1
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+WORD_BYTES = np.array([b not in (0x20, *range(0x09, 0x0E)) for b in range(256)])
 FACTORS = mix64(np.arange(COLUMNS), 11) | np.uint64(1)
-STEP = np.uint64(0x9E3779B97F4A7C15)
+FACTOR = np.uint64(STEP)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        import xxhash
-
-        value = xxhash.xxh64_intdigest(word)
-        if len(word) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = value
-        return value
-
-
-def shingle_set(text: str, words: int, hashes: WordHashes) -> np.ndarray:
+def shingle_set(text: str, words: int, hashes: RunHashes) -> np.ndarray:
     """Sorted distinct shingles of a text."""
-    found = WORD.findall(text.translate(LOWER))
-    if not found:
-        return np.zeros(0, np.uint64)
-    each = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
+    each = hashes(LOWER[bytes_of(text)])
+    if not len(each):
+        return each
     size = min(words, len(each))
     whole = np.full(len(each) - size + 1, size, np.uint64)
     for i in range(size):
-        whole = mix64(whole * STEP + each[i : i + len(whole)])
+        whole = mix64(whole * FACTOR + each[i : i + len(whole)])
     return np.unique(whole)
 
 
@@ -97,7 +79,7 @@ def region_keys(signatures: np.ndarray, order: int, depth: int) -> np.ndarray:
     """A hash of the first ``depth`` columns of an order, per line of ``signatures``."""
     key = np.full(len(signatures), order * 1000 + depth, np.uint64)
     for column in order_columns(order)[:depth]:
-        key = mix64(key * STEP + signatures[:, column])
+        key = mix64(key * FACTOR + signatures[:, column])
     return key.view(np.int64)
 
 
@@ -105,7 +87,7 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
     """(id, n_shingles, set_key, signature) of every row."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        hashes = RunHashes(WORD_BYTES)
         for batch in batches:
             sets = [shingle_set(t, words, hashes) for t in batch["text"]]
             yield pd.DataFrame(
@@ -221,7 +203,7 @@ def confirmed_edges(docs: DataFrame, classes: DataFrame, candidates: DataFrame,
     )
 
     def reread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        hashes = RunHashes(WORD_BYTES)
         for batch in batches:
             sets = [shingle_set(t, words, hashes) for t in batch["text"]]
             same = [set_key(s) == bytes(k) for s, k in zip(sets, batch["set_key"])]

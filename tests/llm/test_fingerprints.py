@@ -13,7 +13,7 @@ from civicpanel.llm import fingerprints as fp
 def brute(rows, band=fp.IDF_BAND):
     """The whole result from lists, next documents from one sort."""
     buckets = fp.TermBuckets()
-    of = lambda t: {buckets[w] for w in re.findall(r"\w+", t.lower())}
+    of = lambda t: {int(buckets(w)[0]) for w in re.findall(r"[0-9a-z_\x80-\U0010ffff]+", t.lower())}
     df = {}
     for _, t in rows:
         for b in of(t or ""):
