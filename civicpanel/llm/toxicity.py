@@ -3,12 +3,14 @@
 The categories are predicted one after the other. The model of a category sees which words a
 text has and the probabilities of the categories before it. In training these probabilities
 are out of fold: each comes from a model that did not see the row, as it will be for new
-texts. All models are logistic regressions with an L1 penalty, so that a category rests on
-the few words that tell it and not on the length of a text.
+texts. A model is a logistic regression with an L1 penalty over the words that a chi-square
+test finds most telling, so that a category rests on few words and not on the length of a text.
 
-Training uses at most about ``sample`` labelled documents, picked by a hash of their id, one
-for each different text; vocabulary and coefficients are bounded by ``vocabulary``. Scoring
-runs over all rows and whole texts, as Spark ML expressions without a shuffle.
+Training uses at most about ``sample`` labelled documents, picked by a hash of their id. Of
+copies and near copies, told by the smallest hash of four words in a row, it takes one, so
+that a copied text with a wrong label does not teach its words. Vocabulary and coefficients
+are bounded by ``vocabulary`` and ``telling``. Scoring runs over all rows and whole texts, as
+Spark ML expressions without a shuffle.
 
 NULL and empty texts have no words and get the probability of a text without any. Rows with
 a NULL label are not used in training; without labelled rows every probability is 0. Every
@@ -19,8 +21,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, UnivariateFeatureSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,21 +32,34 @@ from civicpanel.llm.common import text_or_empty, written
 
 SAMPLE = 12_000
 VOCABULARY = 1 << 16
-#: A word must occur in so many texts of the sample.
-LEAST_TEXTS = 5
+#: A term must occur in so many texts of the sample.
+LEAST_TEXTS = 10
+#: Letters of the beginning of a longer word, which counts as a term of its own.
+STEM = 4
+#: Terms that a model may use.
+TELLING = 200
 FOLDS = 3
-PENALTY = 1e-4
-ITERATIONS = 30
+PENALTY = 2e-4
+ITERATIONS = 20
+#: Partitions of the sample, which is small, in the many short jobs of training.
+PARTITIONS = 4
 THRESHOLD = 0.5
 
 
 def words(text: Column) -> Column:
-    """Lower-cased runs of letters and digits."""
+    """Lower-cased runs of letters and digits, in order."""
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
+def terms(found: Column) -> Column:
+    """Distinct words, and how the longer ones begin: a stem shows in words not met in training."""
+    distinct = F.array_distinct(found)
+    begins = F.transform(F.filter(distinct, lambda w: F.length(w) > STEM), lambda w: F.concat(F.lit("^"), F.substring(w, 1, STEM)))
+    return F.concat(distinct, F.array_distinct(begins))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], sample: int, seed: int) -> DataFrame:
-    """Distinct texts of about ``sample`` labelled documents with a 0/1 column per category."""
+    """Words of about ``sample`` labelled documents, one of each group of copies, with a 0/1 column per category."""
     keys = labels.select(
         F.col("doc_id").cast("long").alias("_doc"), *[c.cast("double").alias(f"_y_{name}") for name, c in categories.items()]
     ).dropna()
@@ -51,8 +67,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Co
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "_doc"), 11) * F.lit(2.0**-53)
     chosen = F.broadcast(keys.where(place < share))  # bounded by ``sample``
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), text_or_empty().alias("_text"))
-    found = texts.join(chosen, "_doc").withColumn("_key", F.xxhash64("_text"))
-    return found.groupBy("_key").agg(F.min_by(F.struct("_text", *[f"_y_{n}" for n in categories]), "_doc").alias("_row")).select("_key", "_row.*")
+    found = texts.join(chosen, "_doc").withColumn("_words", words(F.col("_text"))).drop("_text")
+    ends = F.sequence(F.lit(1), F.greatest(F.size("_words") - 3, F.lit(1)))
+    rows = F.transform(ends, lambda i: F.xxhash64(F.concat_ws(" ", F.slice("_words", i, 4))))
+    kept = F.min_by(F.struct(terms(F.col("_words")).alias("_words"), *[f"_y_{n}" for n in categories]), "_doc")
+    return found.groupBy(F.array_min(rows).alias("_key")).agg(kept.alias("_row")).select("_key", "_row.*")
 
 
 @dataclass
@@ -60,25 +79,36 @@ class Chain:
     """A vocabulary and one linear model per category, in order."""
 
     vocabulary: CountVectorizerModel | None
-    models: list[tuple[str, LogisticRegressionModel]]
+    models: list[tuple[str, PipelineModel]]
     categories: list[str]
 
     def probabilities(self, rows: DataFrame, text: Column) -> DataFrame:
         """``rows`` with ``_p_<category>`` for each category."""
         if self.vocabulary is None:
             return rows.withColumns({f"_p_{c}": F.lit(0.0) for c in self.categories})
-        scored = self.vocabulary.transform(rows.withColumn("_words", words(text)))
-        earlier: list[str] = []
+        scored = self.vocabulary.transform(rows.withColumn("_words", terms(words(text))))
         for category, model in self.models:
-            scored = _scored(model, scored, earlier, category)
-            earlier.append(f"_p_{category}")
+            scored = _scored(model, scored, category)
         return scored.drop("_words", "_counts")
 
 
-def _scored(model: LogisticRegressionModel, rows: DataFrame, earlier: list[str], category: str) -> DataFrame:
-    joined = VectorAssembler(inputCols=["_counts", *earlier], outputCol="_features").transform(rows)
-    found = model.transform(joined).withColumn(f"_p_{category}", vector_to_array("_probability")[1])
-    return found.drop("_features", "_probability", "_raw", "_prediction")
+def _scored(model: PipelineModel, rows: DataFrame, category: str) -> DataFrame:
+    found = model.transform(rows).withColumn(f"_p_{category}", vector_to_array("_probability")[1])
+    return found.drop("_telling", "_features", "_probability", "_raw", "_prediction")
+
+
+def _learner(category: str, earlier: list[str], telling: int, penalty: float) -> Pipeline:
+    """Choice of words, then a linear model of them and the earlier probabilities."""
+    label = f"_y_{category}"
+    chosen = UnivariateFeatureSelector(featuresCol="_counts", outputCol="_telling", labelCol=label, selectionMode="numTopFeatures")
+    chosen = chosen.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(telling)
+    joined = VectorAssembler(inputCols=["_telling", *earlier], outputCol="_features")
+    model = LogisticRegression(
+        featuresCol="_features", labelCol=label, probabilityCol="_probability", rawPredictionCol="_raw",
+        predictionCol="_prediction", regParam=penalty, elasticNetParam=1.0, maxIter=ITERATIONS,
+        standardization=False, family="binomial",
+    )
+    return Pipeline(stages=[chosen, joined, model])
 
 
 def train(
@@ -87,44 +117,37 @@ def train(
     categories: dict[str, Column],
     sample: int = SAMPLE,
     vocabulary: int = VOCABULARY,
+    telling: int = TELLING,
     folds: int = FOLDS,
     penalty: float = PENALTY,
     seed: int = 0,
 ) -> Chain:
     """Fit the chain on documents with labels; ``categories`` are conditions on ``labels``, in order."""
-    rows = written(labelled_sample(docs, labels, categories, sample, seed).withColumn("_words", words(F.col("_text"))).drop("_text"), "toxicity_sample")
+    rows = written(labelled_sample(docs, labels, categories, sample, seed).coalesce(PARTITIONS), "toxicity_sample")
     least = LEAST_TEXTS if rows.count() > 50 * LEAST_TEXTS else 1
     if not rows.where(F.size("_words") > 0).limit(1).count():
         return Chain(None, [], list(categories))
-    counter = CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=vocabulary, minDF=least, binary=True)
-    counted = counter.fit(rows)
-    learner = LogisticRegression(
-        featuresCol="_features", probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_prediction",
-        regParam=penalty, elasticNetParam=1.0, maxIter=ITERATIONS, standardization=False, family="binomial",
-    )
+    counted = CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=vocabulary, minDF=least, binary=True).fit(rows)
     fold = F.pmod(F.xxhash64(F.lit(seed + 1), "_key"), F.lit(folds)).cast("int")
-    known = written(counted.transform(rows).drop("_words").withColumn("_fold", fold), "toxicity_counts").cache()
+    known = counted.transform(rows.coalesce(PARTITIONS)).drop("_words").withColumn("_fold", fold).cache()
     models, earlier = [], []
     for at, category in enumerate(categories):
-        joined = VectorAssembler(inputCols=["_counts", *earlier], outputCol="_features").transform(known)
-        estimate = learner.copy().setLabelCol(f"_y_{category}")
-        models.append((category, estimate.fit(joined)))
+        learner = _learner(category, earlier, telling, penalty)
+        whole = learner.fit(known)
+        models.append((category, whole))
         if at + 1 == len(categories):
             break
         # What the next model learns from: each fold scored by a model of the other folds.
-        column = f"_p_{category}"
-        parts = []
+        held = None
         for k in range(folds):
-            rest = joined.where(F.col("_fold") != k)
-            inside = known.where(F.col("_fold") == k)
-            whole = models[-1][1] if rest.limit(1).count() == 0 else estimate.fit(rest)
-            parts.append(_scored(whole, inside, earlier, category))
-        held = parts[0]
-        for part in parts[1:]:
-            held = held.unionByName(part)
-        old, known = known, written(held, "toxicity_folds").cache()
+            rest = known.where(F.col("_fold") != k)
+            model = learner.fit(rest) if rest.limit(1).count() else whole
+            part = _scored(model, known.where(F.col("_fold") == k), category)
+            held = part if held is None else held.unionByName(part)
+        old, known = known, written(held, "toxicity_folds").coalesce(PARTITIONS).cache()
+        known.count()
         old.unpersist()
-        earlier.append(column)
+        earlier.append(f"_p_{category}")
     known.unpersist()
     return Chain(counted, models, list(categories))
 
