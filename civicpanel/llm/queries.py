@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicpanel.llm import fingerprints, html_text, near_duplicates, packing, sharding, token_counts, toxicity, url_filter
+from civicpanel.llm import (
+    decontamination, fingerprints, html_text, near_duplicates, packing, sharding, token_counts, toxicity, url_filter,
+)
 from civicpanel.llm.common import tables, written
 from civicpanel.llm.registry import QUERIES, SQL, query
 
@@ -97,3 +99,9 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Component of every document under a similarity of 0.8 of two-word shingles."""
     return near_duplicates.near_duplicates(tables(spark, folder, "documents"), words=2, percent=80)
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The benchmark items found in each document, one row per pair."""
+    return decontamination.leaks(tables(spark, folder, "documents"), tables(spark, folder, "benchmark"))
