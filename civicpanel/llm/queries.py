@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicpanel.llm import (
-    decontamination, fingerprints, html_text, near_duplicates, packing, sharding, token_counts, toxicity, url_filter,
+    decontamination, fingerprints, html_text, near_duplicates, packing, sharding, substrings, token_counts, toxicity,
+    url_filter,
 )
 from civicpanel.llm.common import tables, written
 from civicpanel.llm.registry import QUERIES, SQL, query
@@ -105,3 +106,9 @@ def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """The benchmark items found in each document, one row per pair."""
     return decontamination.leaks(tables(spark, folder, "documents"), tables(spark, folder, "benchmark"))
+
+
+@query("op3_substrings")
+def op3_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """What repeats of 50 bytes are removed from every document, and a digest of the rest."""
+    return substrings.digests(tables(spark, folder, "documents"))
