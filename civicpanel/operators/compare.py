@@ -75,27 +75,31 @@ def focus_series(
     time: str = "ano",
     value: str = "valor",
 ) -> DataFrame:
-    """(time, value, serie): the focus entity, its group's mean, the overall mean, extras."""
+    """(time, value, serie): the focus entity, its group's mean, the overall mean, extras.
+
+    Every row is labelled once with the series it belongs to, its own if it is chosen and
+    the means, and one aggregation gives both: rows of chosen entities pass through it as
+    they are, means leave out NULL times.
+    """
     names = entities.select(key, name, group)
     own_group = names.where(F.col(key) == focus).select(F.col(group).alias("_focus_group")).distinct()
+    placed = names.join(own_group, F.col(group) == F.col("_focus_group"), "left")
     chosen = [focus, *[e for e in extras if e != focus]]
-    single = (
-        df.where(F.col(key).isin(chosen))
-        .join(names, key, "left")
-        .select(time, value, F.col(name).alias("serie"))
-    )
-    with_group = df.join(
-        names.join(own_group, F.col(group) == F.col("_focus_group")).select(key, "_focus_group"), key, "left"
+    own = F.when(F.col(key).isin(chosen), F.struct(F.lit(True).alias("own"), F.col(name).alias("serie")))
+    means = [
+        F.when(title.isNotNull() & F.col(time).isNotNull(), F.struct(F.lit(False).alias("own"), title.alias("serie")))
+        for title in (label(fv.MEAN_PREFIX, F.col("_focus_group")), F.lit(fv.COUNTRY_SERIES))
+    ]
+    labelled = df.join(placed, key, "left").select(
+        time, value, F.inline(F.array_compact(F.array(own, *means)))
     )
-    series = F.array_compact(
-        F.array(label(fv.MEAN_PREFIX, F.col("_focus_group")), F.lit(fv.COUNTRY_SERIES))
-    )
-    means = (
-        with_group.select(time, value, F.explode(series).alias("serie"))
-        .groupBy(time, "serie")
-        .agg(F.avg(value).alias(value))
+    row = F.struct(F.col(value).alias(value))
+    series = labelled.groupBy(time, "own", "serie").agg(
+        F.avg(F.when(~F.col("own"), F.col(value))).alias("_mean"),
+        F.collect_list(F.when(F.col("own"), row)).alias("_rows"),
     )
-    return single.unionByName(means)
+    found = F.when(F.col("own"), F.col("_rows")).otherwise(F.array(F.struct(F.col("_mean").alias(value))))
+    return series.select(time, "serie", F.inline(found)).select(time, value, "serie")
 
 
 def selected_indicators(fact: DataFrame, catalogue: DataFrame, names: Sequence[str]) -> DataFrame:

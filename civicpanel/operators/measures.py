@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from civicpanel.functions.expressions import at_least, safe_ratio
+from civicpanel.functions.expressions import at_least, is_value, safe_ratio
 from civicpanel.operators.lookups import one_per_key
 
 
@@ -24,8 +24,8 @@ def sum_by(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame
 def mean_with_count(
     df: DataFrame, by: Sequence[str], value: str, mean: str, count: str
 ) -> DataFrame:
-    """Mean of the periods that exist, and how many there were."""
-    return df.groupBy(*by).agg(F.avg(value).alias(mean), F.count(value).alias(count))
+    """Mean of the periods that exist, and how many there were; NULL keys have no group."""
+    return df.dropna(subset=list(by)).groupBy(*by).agg(F.avg(value).alias(mean), F.count(value).alias(count))
 
 
 def weighted_mean(
@@ -37,7 +37,7 @@ def weighted_mean(
 ) -> DataFrame:
     """Weighted means of several values in one aggregation (``values``: name -> column).
 
-    Rows without a positive weight are dropped. Under ``as_zero`` a missing value keeps
+    Rows without a positive weight, or with a NaN one, are dropped. Under ``as_zero`` a missing value keeps
     its weight in the denominator, so the result is biased low; under ``exclude`` its
     weight is left out.
     """
@@ -48,7 +48,7 @@ def weighted_mean(
     for name, value in values.items():
         counted = w if null_policy == "as_zero" else F.when(F.col(value).isNotNull(), w)
         means.append(safe_ratio(F.sum(F.col(value) * w), F.sum(counted)).alias(name))
-    return df.where(w > 0).groupBy(*by).agg(*means)
+    return df.where(is_value(w) & (w > 0)).groupBy(*by).agg(*means)
 
 
 def rate(

@@ -3,27 +3,36 @@
 The slope of ``y ~ x + entity + time`` is that of the residuals of x and y after both
 effects are taken out. Entity effects are removed inside each entity. The time effects
 then solve a linear system with one unknown per period, whose matrix is a sum over
-entities and depends only on which periods an entity has. Entities with the same
-presence pattern are counted together, so the pairs of periods are formed once per
-pattern and not per entity. Only that small system is solved in Python, from at most
-periods^2 sums per panel. The result is exact for unbalanced panels as well.
+entities. Every task adds up the matrices of its entities and hands on one per panel,
+these are added one after the other, and the system is solved in Python. So a task holds
+one matrix of periods x periods numbers for each panel it meets (``HELD`` of them at
+most, then it hands them on), and no pair of periods is ever a row. Periods are bounded by
+what such a matrix may take: 3,000 of them are 72 MB. The result is exact for unbalanced
+panels as well.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicpanel import fixed_values as fv
 from civicpanel.functions.expressions import is_value, round_half_even
 
+# Executors get the functions of this module with the task and need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NEGLIGIBLE = 1e-12
-SALTS = 64
+#: Numbers of all matrices that a task holds before it hands them on.
+HELD = 8_000_000
 
 
 def _let(value: Column, body) -> Column:
@@ -115,27 +124,74 @@ def _period_sums(entities: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def _pattern_pairs(entities: DataFrame, by: list[str]) -> DataFrame:
-    """Per (panel, period, period): how often entities link the two periods."""
-    pattern = F.transform("cells", lambda c: F.struct(c["t"].alias("t"), c["n"].alias("n")))
-    patterns = (
-        entities.select(*by, pattern.alias("pattern"))
-        .groupBy(*by, "pattern")
-        .agg(F.count(F.lit(1)).alias("times"))
-        .withColumn("share", F.try_divide(F.col("times"), _total("pattern", lambda c: c["n"])))
-    )
-    one = patterns.select(*by, "pattern", "share", F.explode("pattern").alias("a"))
-    two = one.select(*by, "share", "a", F.explode("pattern").alias("b"))
-    return two.groupBy(*by, F.col("a.t").alias("t"), F.col("b.t").alias("s")).agg(
-        F.sum(F.col("share") * F.col("a.n") * F.col("b.n")).alias("link")
+class _Links:
+    """How entities link the periods of one panel, as a matrix that grows with its periods."""
+
+    def __init__(self):
+        self.place: dict = {}
+        self.matrix = np.zeros((8, 8))
+
+    def add(self, periods, block: np.ndarray) -> None:
+        at = [self.place.setdefault(t, len(self.place)) for t in periods]
+        if len(self.place) > len(self.matrix):
+            grown = np.zeros((2 * len(self.place),) * 2)
+            grown[: len(self.matrix), : len(self.matrix)] = self.matrix
+            self.matrix = grown
+        self.matrix[np.ix_(at, at)] += block
+
+    def row(self) -> tuple[list, np.ndarray]:
+        """Periods in order and the matrix, line by line."""
+        periods = sorted(self.place)
+        at = [self.place[t] for t in periods]
+        return periods, self.matrix[np.ix_(at, at)].ravel()
+
+
+def _period_links(entities: DataFrame, by: list[str]) -> DataFrame:
+    """(by, periods, links): one row per panel, links[i * n + j] of the i-th and j-th period."""
+    cells = entities.where(F.size("cells") > 0).select(
+        *by,
+        F.col("cells.t").alias("periods"),
+        F.col("cells.n").alias("links"),
     )
+    schema = cells.schema
+
+    def frame(panels: dict) -> pd.DataFrame:
+        rows = [(*key, *links.row()) for key, links in panels.items()]
+        return pd.DataFrame(rows, columns=[*by, "periods", "links"])
+
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        panels: dict[tuple, _Links] = {}
+        for batch in batches:
+            for *key, periods, n in batch.itertuples(index=False):
+                panels.setdefault(tuple(key), _Links()).add(periods, np.outer(n, n) / n.sum())
+            if sum(p.matrix.size for p in panels.values()) > HELD:
+                yield frame(panels)
+                panels = {}
+        if panels:
+            yield frame(panels)
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows of one panel follow each other."""
+        panels: dict[tuple, _Links] = {}
+        for batch in batches:
+            for *key, periods, links in batch.itertuples(index=False):
+                if panels and tuple(key) not in panels:
+                    yield frame(panels)
+                    panels = {}
+                panels.setdefault(tuple(key), _Links()).add(periods, links.reshape(len(periods), -1))
+        if panels:
+            yield frame(panels)
+
+    parts = cells.mapInPandas(gather, schema)
+    together = parts.repartition(*by).sortWithinPartitions(*by) if by else parts.repartition(1)
+    return together.mapInPandas(add, schema)
 
 
 def _solve(by: list[str]):
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        sums = rows[rows["link"].isna()]
+        sums = rows[rows["links"].isna()]
         periods = sums.dropna(subset=["t"]).sort_values("t")
-        links = rows[rows["link"].notna()]
+        links = rows["links"].dropna()
         out = {c: rows[c].iloc[0] for c in by}
         out["n_obs"] = int(sums["rows"].sum())
         out["n_entities"] = int(sums["entities"].sum())
@@ -144,13 +200,8 @@ def _solve(by: list[str]):
         out["slope0"], out["scale"], out["effects"] = None, None, []
         target = periods[["bx", "by"]].to_numpy()
         if len(periods) and np.isfinite(target).all():
-            place = {t: i for i, t in enumerate(periods["t"])}
-            system = np.diag(periods["weight"].to_numpy())
-            np.subtract.at(
-                system,
-                (links["t"].map(place).to_numpy(), links["s"].map(place).to_numpy()),
-                links["link"].to_numpy(),
-            )
+            # Both the sums and the matrix have the panel's periods in ascending order.
+            system = np.diag(periods["weight"].to_numpy()) - links.iloc[0].reshape(len(periods), -1)
             effects = np.linalg.lstsq(system, target, rcond=1e-11)[0]
             sxx, sxy = periods["sxx"].sum(), periods["sxy"].sum()
             left = sxx - target[:, 0] @ effects[:, 0]
@@ -165,17 +216,30 @@ def _solve(by: list[str]):
     return solve
 
 
+_EFFECTS = T.StructType([T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("x", "y")])
+
+
+@F.pandas_udf(_EFFECTS)
+def _effects_at(periods: pd.Series, known: pd.Series, x: pd.Series, y: pd.Series) -> pd.DataFrame:
+    """The effects of the periods of each entity, looked up in the panel's ascending periods."""
+    found = []
+    for mine, every, gx, gy in zip(periods, known, x, y):
+        at = np.searchsorted(every, mine) if len(every) else []
+        found.append((gx[at], gy[at]) if len(every) else (gx, gy))
+    return pd.DataFrame(found, columns=["x", "y"])
+
+
 def two_sided_p(statistic: Column) -> Column:
-    """Two-sided p-value of a standard normal statistic, good to about 1e-14.
+    """Two-sided p-value of a standard normal statistic, to about 1e-13 of its value.
 
-    One minus the error function, from its series of positive terms; past z = 6 (a
-    statistic of about 8.5) nothing is left of it in double precision.
+    Up to z = 2 one minus the error function, from its series of positive terms; beyond,
+    where that difference loses digits, the continued fraction of the complement.
     """
     z = F.abs(statistic) / math.sqrt(2.0)
     series = _let(
         z,
         lambda z: F.aggregate(
-            F.sequence(F.lit(1), F.lit(200)),
+            F.sequence(F.lit(1), F.lit(60)),
             F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum")),
             lambda acc, k: _let(
                 acc["term"] * 2.0 * z * z / (2 * k + 1),
@@ -185,7 +249,11 @@ def two_sided_p(statistic: Column) -> Column:
         ),
     )
     error = z * (2.0 / math.sqrt(math.pi)) * F.exp(-z * z) * series
-    return F.when(z > 6.0, 0.0).when(z.isNotNull(), F.greatest(1.0 - error, F.lit(0.0)))
+    fraction = _let(
+        z, lambda z: F.aggregate(F.sequence(F.lit(120), F.lit(1)), z, lambda acc, k: z + k / 2.0 / acc)
+    )
+    tail = F.exp(-z * z) / math.sqrt(math.pi) / fraction
+    return F.when(z > 2.0, tail).when(z.isNotNull(), F.greatest(1.0 - error, F.lit(0.0)))
 
 
 def fixed_effects(
@@ -221,18 +289,12 @@ def fixed_effects(
         + ["n_obs BIGINT, n_entities BIGINT, n_used DOUBLE, n_params BIGINT, slope0 DOUBLE, scale DOUBLE"]
         + [f"effects ARRAY<STRUCT<t: {types['t']}, x: DOUBLE, y: DOUBLE>>"]
     )
-    system = _period_sums(entities, by).unionByName(_pattern_pairs(entities, by), allowMissingColumns=True)
+    system = _period_sums(entities, by).unionByName(_period_links(entities, by), allowMissingColumns=True)
     solved = system.groupBy(*by).applyInPandas(_solve(by), solution_schema)
-    solved = solved.withColumn(
-        "effects",
-        F.map_from_entries(F.transform("effects", lambda e: F.struct(e["t"], F.struct(e["x"], e["y"])))),
-    )
 
     # Residuals of each cell: take out the time effects, then what they leave of the
     # entity mean; then one struct of sums per entity.
-    timed = F.transform(
-        "cells", lambda c: _let(F.element_at("effects", c["t"]), lambda effect: _less(c, effect))
-    )
+    timed = F.zip_with("cells", F.arrays_zip("taken.x", "taken.y"), lambda c, effect: _less(c, effect))
     slope0 = F.col("slope0")
 
     def add(acc: Column, c: Column, mean: Column) -> Column:
@@ -251,17 +313,20 @@ def fixed_effects(
             _means(cells), lambda mean: F.aggregate(cells, nothing, lambda acc, c: add(acc, c, mean))
         ),
     )
-    # A few panels hold all entities, so each panel's entities are dealt over salts and the
-    # one solution row of the panel is repeated for each. The null-safe test adds no filter
-    # to one reader of the entity rows, which would stop it sharing their shuffle.
+    # A few panels hold all entities, so each panel's entities are dealt over as many salts as
+    # a shuffle has partitions and the one solution row of the panel is repeated for each. The
+    # null-safe test adds no filter to one reader of the entity rows, which would stop it
+    # sharing their shuffle.
+    salts = max(1, int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     repeated = solved.withColumnsRenamed({c: f"_of_{c}" for c in by}).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    same = F.pmod(F.xxhash64("entity"), F.lit(SALTS)).cast("int").eqNullSafe(F.col("_salt"))
+    same = F.pmod(F.xxhash64("entity"), F.lit(salts)).cast("int").eqNullSafe(F.col("_salt"))
     for c in by:
         same &= F.col(c) == F.col(f"_of_{c}")
     scores = (
         entities.join(repeated, same)
+        .withColumn("taken", _effects_at("cells.t", "effects.t", "effects.x", "effects.y"))
         .select(
             *by, "n_obs", "n_entities", "n_used", "n_params", "scale", "slope0",
             (F.size("cells") > 0).alias("used"), entity_sums.alias("sums"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from civicpanel.functions.expressions import name_and_party, term_end, term_start
-from civicpanel.operators.lookups import with_group_values, without_known
+from civicpanel.operators.lookups import one_per_key, with_group_values, without_known
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -95,9 +95,11 @@ def assign_term(
     """Give each fact row the term its year falls in; NULL where there is none.
 
     The interval is unrolled to years, so this is an equi-join on (entity, year) rather
-    than a range comparison within each entity.
+    than a range comparison within each entity. Two terms in one year of an entity would
+    multiply fact rows and are an error; equal rows count once.
     """
-    return fact.join(term_years(terms, keep, key, time, start, end), [key, time], "left")
+    years = term_years(terms.where(F.col(key).isNotNull()), keep, key, time, start, end)
+    return fact.join(one_per_key(years, [key, time], keep), [key, time], "left")
 
 
 def overlapping_years(terms: DataFrame, key: str = "sigla_uf", time: str = "ano") -> DataFrame:

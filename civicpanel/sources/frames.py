@@ -4,32 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from civicpanel import fixed_values as fv
 from civicpanel import schemas
 
-MAX_LITERAL_ROWS = 10_000
-
-
 def literal_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A frame from in-code rows, built from literals so that the plan knows its size.
+    """A frame from in-code rows of any number.
 
-    Catalyst sees a few literals rather than an opaque scan and broadcasts it by its
-    own size check.
+    They are handed over as one Arrow table, so Catalyst knows their size and broadcasts
+    them, or not, by its own check.
     """
-    if len(rows) > MAX_LITERAL_ROWS:
-        raise ValueError(f"{len(rows)} literal rows; store a table this long and read it")
-    if not rows:
-        return spark.createDataFrame([], schema)
-    fields = StructType.fromDDL(schema).fields
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
-        for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    kind = StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(kind)
+    arrays = [pa.array(c, type=to_arrow_type(f.dataType)) for c, f in zip(columns, kind)]
+    return spark.createDataFrame(pa.table(arrays, names=kind.names), kind)
 
 
 def state_dim(spark: SparkSession) -> DataFrame:

@@ -95,6 +95,25 @@ def test_focus_series(spark):
     assert filters.choose_dimension(df, "dimensao").count() == 4
 
 
+def test_focus_series_passes_rows_through_and_drops_null_years_from_means(spark):
+    df = spark.createDataFrame([(None, "a", "h", 1.0), (2015, "a", "h", 3.0), (2015, "a", "h", None), (2015, "b", "h", 5.0)], SPENT)
+    got = rows(compare.focus_series(df, states(spark), "a"), "serie", "ano", "valor")
+    own = [r for r in got if r[0] == "Aa"]
+    assert sorted(own, key=str) == [("Aa", 2015, 3.0), ("Aa", 2015, None), ("Aa", None, 1.0)]
+    assert {r[1] for r in got if r[0] != "Aa"} == {2015}
+
+
+def test_focus_series_reads_its_input_once(spark, data):
+    orders = spark.read.parquet(f"{data}/orders.parquet")
+    cells = orders.groupBy(F.year("o_orderdate").alias("ano"), F.col("o_custkey").cast("string").alias("sigla_uf")).agg(
+        F.sum("o_totalprice").alias("valor")
+    )
+    out = compare.focus_series(cells, states(spark), "a", ["c"])
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+
+
 def test_distinct_values_skip_the_empty_label(spark):
     df = spark.createDataFrame([("b",), ("",), ("a",), ("b",), (None,)], "d STRING")
     assert [r.d for r in compare.distinct_values(df, "d").collect()] == ["a", "b"]
@@ -129,6 +148,10 @@ def test_term_assignment_and_bands(spark):
     assert bands == [(2015, 2018, "P (p1)", 0), (2019, 2022, "Q (p2)", 1)]
     assert pages.state_terms(term_frame(spark), "AM").isEmpty()
     assert tenure.overlapping_years(term_frame(spark)).isEmpty()
+    twice = term_frame(spark).union(term_frame(spark).withColumn("sigla_partido", F.lit("other")))
+    with pytest.raises(Exception, match="conflicting rows"):
+        tenure.assign_term(fact, twice, ["sigla_partido"]).collect()
+    assert tenure.assign_term(fact, term_frame(spark).union(term_frame(spark)), ["sigla_partido"]).count() == 6
 
 
 def test_latest_per_key_cuts_before_the_shuffle(spark):

@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from civicpanel import fixed_values as fv
+from civicpanel.operators import panel_regression as regression
 from civicpanel.operators.panel_regression import fixed_effects, two_sided_p
 
 SCHEMA = "combo STRING, uf STRING, ano INT, x DOUBLE, y DOUBLE"
@@ -195,4 +196,25 @@ def test_p_value(spark):
         if row.t is None:
             assert row.p is None
         else:
-            assert row.p == pytest.approx(math.erfc(abs(row.t) / math.sqrt(2)), abs=1e-14)
+            assert row.p == pytest.approx(math.erfc(abs(row.t) / math.sqrt(2)), rel=1e-11, abs=1e-300)
+
+
+def test_one_matrix_per_panel_whatever_repeats(spark, monkeypatch):
+    """Repeated cells and a small memory give the same single row per panel, with no row per pair."""
+    data = [*noisy("a", 40, 9, 5, hole=0.3, repeat=0.8), *noisy("b", 30, 6, 6, repeat=0.5)]
+    df = spark.createDataFrame(data, SCHEMA).repartition(6).selectExpr("combo AS by_0", "uf AS entity", "ano AS t", "x", "y")
+    entities = regression._entity_rows(df, ["by_0"])
+
+    def links():
+        return {r.by_0: (r.periods, np.array(r.links)) for r in regression._period_links(entities, ["by_0"]).collect()}
+
+    whole = links()
+    monkeypatch.setattr(regression, "HELD", 1)
+    for key, (periods, matrix) in links().items():
+        assert periods == whole[key][0] == sorted(periods)
+        assert len(matrix) == len(periods) ** 2 and np.allclose(matrix, whole[key][1])
+    expected = np.zeros((9, 9))
+    for e in {r[1] for r in data if r[0] == "a"}:
+        n = np.bincount([r[2] - 2000 for r in data if r[0] == "a" and r[1] == e], minlength=9)
+        expected += np.outer(n, n) / n.sum()
+    assert np.allclose(whole["a"][1].reshape(9, 9), expected)

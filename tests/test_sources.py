@@ -214,8 +214,8 @@ def test_literal_dimensions(spark):
         (2014, "49030"), (2015, "49031"), (2016, "49032"),
     ]
     assert frames.literal_frame(spark, [], "a INT").count() == 0
-    with pytest.raises(ValueError):
-        frames.literal_frame(spark, [(1,)] * 20_000, "a INT")
+    assert frames.literal_frame(spark, [(1, None)] * 20_000, "a INT, b STRING").count() == 20_000
+    assert "LocalTableScan" in frames.state_dim(spark)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_keys(spark):
