@@ -48,6 +48,16 @@ def written(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*written_tables: DataFrame) -> None:
+    """Delete written tables that no later step reads."""
+    for table in written_tables:
+        files = table.inputFiles()
+        if files:
+            session = table.sparkSession
+            folder = session._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+            folder.getFileSystem(session._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def tables(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
