@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from civicpanel.functions.expressions import years_between
+
 
 @dataclass(frozen=True)
 class Years:
@@ -40,3 +42,8 @@ class Years:
         if self.is_range:
             return year.between(self.first, self.last)
         return year.isin(list(self.years))
+
+    def covers(self, moment: str | Column) -> Column:
+        """The years of a date or timestamp, as a range that parquet can use and the exact years in it."""
+        moment = F.col(moment) if isinstance(moment, str) else moment
+        return years_between(moment, self.first, self.last) & self.matches(F.year(moment))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -12,9 +12,13 @@ from civicpanel.functions.expressions import at_least, is_value, safe_ratio
 from civicpanel.operators.lookups import one_per_key
 
 
-def count_by(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
-    """Row count per group; groups without rows are absent."""
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
+def count_by(df: DataFrame, by: Sequence[str], name: str, count: str | None = None) -> DataFrame:
+    """Row count per group; groups without rows are absent.
+
+    ``count`` names a column that says how many rows a pre-counted row stands for.
+    """
+    rows = F.count(F.lit(1)) if count is None else F.sum(count).cast("long")
+    return df.groupBy(*by).agg(rows.alias(name))
 
 
 def sum_by(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
@@ -22,10 +26,15 @@ def sum_by(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame
 
 
 def mean_with_count(
-    df: DataFrame, by: Sequence[str], value: str, mean: str, count: str
+    df: DataFrame, by: Sequence[str], value: str, mean: str, count: str, **more: Column
 ) -> DataFrame:
-    """Mean of the periods that exist, and how many there were; NULL keys have no group."""
-    return df.dropna(subset=list(by)).groupBy(*by).agg(F.avg(value).alias(mean), F.count(value).alias(count))
+    """Mean of the periods that exist, and how many there were; NULL keys have no group.
+
+    ``more``: further aggregates of the same pass.
+    """
+    extra = [c.alias(name) for name, c in more.items()]
+    known = df.dropna(subset=list(by))
+    return known.groupBy(*by).agg(F.avg(value).alias(mean), F.count(value).alias(count), *extra)
 
 
 def weighted_mean(

@@ -104,10 +104,12 @@ def _per_population(
     return rate(counts, population, STATE_YEAR, count, "populacao", scale, name)
 
 
-def formal_employment(links: DataFrame, population: DataFrame | None, first: int, last: int) -> DataFrame:
-    """Active links per 1,000 people."""
+def formal_employment(
+    links: DataFrame, population: DataFrame | None, first: int, last: int, count: str | None = None
+) -> DataFrame:
+    """Active links per 1,000 people; ``count`` says how many links a row stands for."""
     active = in_years(links, "ano", first, last).where(F.col("vinculo_ativo_3112") == fv.ACTIVE_LINK)
-    counts = count_by(active, STATE_YEAR, "vinculos_ativos")
+    counts = count_by(active, STATE_YEAR, "vinculos_ativos", count)
     return _per_population(counts, population, "vinculos_ativos", 1000, "vinculos_por_mil_habitantes")
 
 
@@ -146,12 +148,14 @@ def school_index(source: DataFrame, first: int, last: int) -> DataFrame:
     )
 
 
-def homicide_rate(deaths: DataFrame, population: DataFrame | None, first: int, last: int) -> DataFrame:
-    """Deaths by assault per 100,000 people."""
+def homicide_rate(
+    deaths: DataFrame, population: DataFrame | None, first: int, last: int, count: str | None = None
+) -> DataFrame:
+    """Deaths by assault per 100,000 people; ``count`` says how many deaths a row stands for."""
     killed = in_years(deaths, "ano", first, last).where(
         (F.col("tipo_obito") == fv.LIVE_BIRTH_DEATH) & code_between("causa_basica", *fv.HOMICIDE_CAUSES)
     )
-    counts = count_by(killed, STATE_YEAR, "obitos_homicidio")
+    counts = count_by(killed, STATE_YEAR, "obitos_homicidio", count)
     return _per_population(counts, population, "obitos_homicidio", 100_000, "taxa_homicidios_100mil")
 
 

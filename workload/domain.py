@@ -9,6 +9,7 @@ from civicpanel.operators import compare, longform, tenure
 from civicpanel.plans import indicators as ind
 from civicpanel.plans import star
 from civicpanel.sources import frames, nested
+from civicpanel.sources.scratch import stored
 from workload import inputs as src
 from workload.inputs import with_ctes
 from workload.registry import query
@@ -18,8 +19,9 @@ PER_CAPITA = """SELECT ano, cod_uf, uf, pib_mil_reais, populacao,
   FROM gdp JOIN population USING (ano, cod_uf, uf)"""
 
 
-def per_capita_table(spark, d):
-    return ind.gdp_per_capita(src.gdp(spark, d), src.population(spark, d))
+def per_capita_table(spark, d, rows=None, population=None):
+    """The tables take rolled-up orders in place of the orders themselves."""
+    return ind.gdp_per_capita(src.gdp(rows or src.placed(spark, d)), population or src.population(spark, d))
 
 
 @query("indicator_gdp_per_capita", with_ctes("gdp", "population", select=PER_CAPITA))
@@ -32,8 +34,9 @@ SPENDING = """SELECT ano, sigla_uf AS uf, conta_bd AS funcao, estagio_bd AS esta
   AND id_conta_bd <> '3.00.000' AND ano BETWEEN 1996 AND 2000{} GROUP BY ALL"""
 
 
-def spending_table(spark, d, functions=None):
-    return ind.spending_by_function(src.spending(spark, d), 1996, 2000, functions=functions)
+def spending_table(spark, d, functions=None, rows=None):
+    rows = rows or src.placed(spark, d, 1996, 2000)
+    return ind.spending_by_function(src.spending(rows), 1996, 2000, functions=functions)
 
 
 @query("indicator_spending", with_ctes("spending", select=SPENDING.format("")))
@@ -56,8 +59,9 @@ EMPLOYMENT = """SELECT ano, sigla_uf, vinculos_ativos, populacao,
   LEFT JOIN per_head USING (ano, sigla_uf)"""
 
 
-def employment_table(spark, d):
-    return ind.formal_employment(src.links(spark, d), src.per_head(spark, d), 1996, 2000)
+def employment_table(spark, d, rows=None, per_head=None):
+    links = src.links(rows or src.placed(spark, d, 1996, 2000))
+    return ind.formal_employment(links, per_head or src.per_head(spark, d, 1996, 2000), 1996, 2000, count="pedidos")
 
 
 @query("indicator_formal_employment", with_ctes("per_head", select=EMPLOYMENT))
@@ -98,7 +102,8 @@ def indicator_deforestation(spark, d):
     ),
 )
 def indicator_infant_mortality_raw(spark, d):
-    return ind.infant_mortality_raw(src.deaths(spark, d), src.births(spark, d), 1996, 2000)
+    years = (1996, 2000)
+    return ind.infant_mortality_raw(src.infant_deaths(spark, d, *years), src.births(spark, d, *years), *years)
 
 
 HOMICIDES = """SELECT ano, sigla_uf, obitos_homicidio, populacao,
@@ -110,7 +115,7 @@ HOMICIDES = """SELECT ano, sigla_uf, obitos_homicidio, populacao,
 
 
 def homicide_table(spark, d):
-    return ind.homicide_rate(src.deaths(spark, d), src.per_head(spark, d), 1996, 2000)
+    return ind.homicide_rate(src.deaths(spark, d, 1996, 2000), src.per_head(spark, d, 1996, 2000), 1996, 2000)
 
 
 @query("indicator_homicide_rate", with_ctes("deaths", "per_head", select=HOMICIDES))
@@ -125,7 +130,7 @@ SANITATION = """SELECT ano, sigla_uf,
 
 
 def sanitation_table(spark, d):
-    return ind.sanitation(src.sanitation(spark, d), 1996, 2000)
+    return ind.sanitation(src.sanitation(spark, d, 1996, 2000), 1996, 2000)
 
 
 @query("indicator_sanitation", with_ctes("sanitation", select=SANITATION))
@@ -137,8 +142,8 @@ SCHOOLS = """SELECT ano, sigla_uf, ensino, anos_escolares, ideb, taxa_aprovacao
   WHERE rede = 'estadual' AND ano BETWEEN 1996 AND 2000 AND ideb IS NOT NULL"""
 
 
-def school_table(spark, d):
-    return ind.school_index(src.schools(spark, d), 1996, 2000)
+def school_table(spark, d, rows=None):
+    return ind.school_index(src.schools(rows or src.placed(spark, d, 1996, 2000)), 1996, 2000)
 
 
 @query("indicator_school_index", with_ctes("schools", select=SCHOOLS))
@@ -150,8 +155,8 @@ DEVELOPMENT = """SELECT ano, sigla_uf, idhm, idhm_e AS idhm_educacao, idhm_l AS
     idhm_r AS idhm_renda FROM development WHERE idhm IS NOT NULL"""
 
 
-def development_table(spark, d):
-    return ind.development_index(src.development(spark, d))
+def development_table(spark, d, rows=None):
+    return ind.development_index(src.development(rows or src.placed(spark, d)))
 
 
 @query("indicator_development_index", with_ctes("development", select=DEVELOPMENT))
@@ -191,12 +196,12 @@ def unlisted_double_terms(spark, d):
 # --- nested responses -----------------------------------------------------------
 
 
-def quarter_blocks(spark, d):
-    return nested.parse_series_blocks(src.quarter_documents(spark, d), "json")
+def quarter_blocks(spark, d, rows=None):
+    return nested.parse_series_blocks(src.quarter_documents(rows or src.placed(spark, d)), "json")
 
 
-def year_blocks(spark, d):
-    return nested.parse_series_blocks(src.year_documents(spark, d), "json")
+def year_blocks(spark, d, rows=None):
+    return nested.parse_series_blocks(src.year_documents(rows or src.placed(spark, d)), "json")
 
 
 @query(
@@ -215,8 +220,8 @@ UNEMPLOYMENT = """SELECT ano, cod_uf, uf, avg(valor) AS taxa_desocupacao_media_a
     count(*) AS trimestres_disponiveis FROM quarters WHERE pedidos >= 3 GROUP BY ALL"""
 
 
-def unemployment_table(spark, d):
-    return ind.unemployment(quarter_blocks(spark, d))
+def unemployment_table(spark, d, rows=None):
+    return ind.unemployment(quarter_blocks(spark, d, rows))
 
 
 @query("indicator_unemployment", with_ctes("quarters", select=UNEMPLOYMENT))
@@ -228,8 +233,8 @@ OFFICIAL = """SELECT ano, cod_uf, nome_uf AS uf, sum(valor) AS taxa_mortalidade_
   FROM placed GROUP BY ALL HAVING count(*) >= 10"""
 
 
-def official_table(spark, d):
-    return ind.infant_mortality_official(year_blocks(spark, d))
+def official_table(spark, d, rows=None):
+    return ind.infant_mortality_official(year_blocks(spark, d, rows))
 
 
 @query("indicator_infant_mortality_official", with_ctes("placed", select=OFFICIAL))
@@ -324,28 +329,35 @@ ORDER_CTES = ("gdp", "population", "development", "spending", "per_head")
 WHOLE_CTES = (*ORDER_CTES, "quarters", "deforestation", "municipalities", "schools", "deaths", "sanitation")
 
 
-def order_fact(spark, d):
-    tables = {
-        "pib_per_capita_uf": per_capita_table(spark, d),
-        "idhm_uf": development_table(spark, d),
-        "despesas_funcao_uf": spending_table(spark, d),
-        "emprego_formal_uf": employment_table(spark, d),
+def order_tables(spark, d, rows, population):
+    per_head = ind.state_population(population, src.states(spark, d))
+    return {
+        "pib_per_capita_uf": per_capita_table(spark, d, rows, population),
+        "idhm_uf": development_table(spark, d, rows),
+        "despesas_funcao_uf": spending_table(spark, d, rows=rows),
+        "emprego_formal_uf": employment_table(spark, d, rows, per_head),
     }
+
+
+def order_fact(spark, d):
+    """The fact of the indicators that need orders only, from one roll-up of the orders."""
+    tables = order_tables(spark, d, src.rolled_up(spark, d), src.population(spark, d))
     return star.consolidate(tables, src.states(spark, d))
 
 
 def whole_tables(spark, d):
+    """All tables from one roll-up of the orders, one of the lines and one count of customers."""
+    rows, population = src.rolled_up(spark, d), stored(src.population(spark, d), "population")
+    per_head = ind.state_population(population, src.states(spark, d))
+    deaths, sanitation = src.rolled_up_lines(spark, d, 1996, 2000)
     return {
-        "pib_per_capita_uf": per_capita_table(spark, d),
-        "idhm_uf": development_table(spark, d),
-        "despesas_funcao_uf": spending_table(spark, d),
-        "taxa_desocupacao_uf": unemployment_table(spark, d),
-        "emprego_formal_uf": employment_table(spark, d),
+        **order_tables(spark, d, rows, population),
+        "taxa_desocupacao_uf": unemployment_table(spark, d, rows),
         "desmatamento_uf": deforestation_table(spark, d),
-        "mortalidade_infantil_uf_oficial": official_table(spark, d),
-        "ideb_uf": school_table(spark, d),
-        "taxa_homicidios_uf": homicide_table(spark, d),
-        "saneamento_uf": sanitation_table(spark, d),
+        "mortalidade_infantil_uf_oficial": official_table(spark, d, rows),
+        "ideb_uf": school_table(spark, d, rows),
+        "taxa_homicidios_uf": ind.homicide_rate(deaths, per_head, 1996, 2000, count="linhas"),
+        "saneamento_uf": ind.sanitation(sanitation, 1996, 2000),
     }
 
 
@@ -401,13 +413,14 @@ def school_stages(spark, d):
         *ORDER_CTES,
         "elections",
         select=f"""SELECT f.*, nome_candidato FROM ({ORDER_FACT}) f
-          LEFT JOIN (SELECT * FROM ({GOVERNORS}) WHERE NOT requer_revisao_manual) t
+          LEFT JOIN (SELECT * FROM ({GOVERNORS}) WHERE NOT requer_revisao_manual AND ano_eleicao % 4 = 0) t
           ON f.sigla_uf = t.sigla_uf AND f.ano BETWEEN year(inicio_mandato) AND year(fim_mandato)""",
     ),
 )
 def term_of_fact(spark, d):
-    """Elections of every year give overlapping terms: a fact year may have several."""
-    return tenure.assign_term(order_fact(spark, d), governor_table(spark, d), ["nome_candidato"]).select(
+    """Elections four years apart, so that a fact year has one term at most."""
+    terms = governor_table(spark, d).where("ano_eleicao % 4 = 0")
+    return tenure.assign_term(order_fact(spark, d), terms, ["nome_candidato"]).select(
         *longform.LONG_COLUMNS, "nome_candidato"
     )
 

@@ -7,35 +7,18 @@ is counted in cents: whole numbers in doubles, whose sums do not depend on their
 
 from __future__ import annotations
 
-from functools import wraps
-from weakref import WeakKeyDictionary
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from civicpanel.functions.expressions import years_between
 from civicpanel.operators.lookups import with_group_values
 from civicpanel.operators.measures import sum_by
 from civicpanel.plans import indicators as ind
+from civicpanel.sources.scratch import stored
 from civicpanel.sources.tables import read_table
 
 CTES: dict[str, str] = {}
-_PLANS: WeakKeyDictionary[SparkSession, dict] = WeakKeyDictionary()
-
-
-def shared(build):
-    """Build a derivation's plan once per session and folder; holds plans, no data."""
-
-    @wraps(build)
-    def get(spark: SparkSession, d: str) -> DataFrame:
-        plans = _PLANS.setdefault(spark, {})
-        key = (build.__name__, d)
-        if key not in plans:
-            plans[key] = build(spark, d)
-        return plans[key]
-
-    return get
-
 
 # Stated, so that building a plan reads no file footer.
 SCHEMAS = {
@@ -107,7 +90,6 @@ CTES["estado"] = """
   FROM nation JOIN region ON n_regionkey = r_regionkey"""
 
 
-@shared
 def states(spark: SparkSession, d: str) -> DataFrame:
     nation, region = table(spark, d, "nation"), table(spark, d, "region")
     joined = nation.join(region, nation.n_regionkey == region.r_regionkey)
@@ -131,10 +113,15 @@ CTES["placed"] = """
   JOIN estado ON c_nationkey = n_nationkey"""
 
 
-@shared
-def placed(spark: SparkSession, d: str) -> DataFrame:
-    """One row per order."""
-    orders, customer = table(spark, d, "orders"), table(spark, d, "customer")
+def orders_of(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Orders, of some years if given; the range reaches the scan."""
+    orders = table(spark, d, "orders")
+    return orders if first is None else orders.where(years_between("o_orderdate", first, last))
+
+
+def placed(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """One row per order. ``pedidos``, ``menor_valor`` and ``maior_valor`` are its share in a rolled-up row."""
+    orders, customer = orders_of(spark, d, first, last), table(spark, d, "customer")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         states(spark, d), F.col("c_nationkey") == F.col("n_nationkey")
     )
@@ -143,7 +130,24 @@ def placed(spark: SparkSession, d: str) -> DataFrame:
         cents("o_totalprice").alias("valor"), "c_name", "c_mktsegment",
         cents("c_acctbal").alias("saldo"),
         "cod_uf", "sigla_uf", "nome_uf", "regiao", F.year("o_orderdate").alias("ano"),
+        F.quarter("o_orderdate").alias("trimestre"), F.lit(1).cast("long").alias("pedidos"),
+        cents("o_totalprice").alias("menor_valor"), cents("o_totalprice").alias("maior_valor"),
+    )
+
+
+GRAIN = ["ano", "trimestre", "cod_uf", "sigla_uf", "nome_uf", "regiao", "o_orderpriority", "o_orderstatus", "c_mktsegment"]
+
+
+def rolled_up(spark: SparkSession, d: str) -> DataFrame:
+    """Orders at the finest grain that a report needs, in the columns of ``placed``.
+
+    One pass over the orders; every measure but the number of customers follows from it.
+    """
+    rows = placed(spark, d).groupBy(*GRAIN).agg(
+        F.sum("valor").alias("valor"), F.sum("pedidos").alias("pedidos"),
+        F.min("menor_valor").alias("menor_valor"), F.max("maior_valor").alias("maior_valor"),
     )
+    return stored(rows, "orders_rolled_up")
 
 
 CTES["shipped"] = """
@@ -154,18 +158,16 @@ CTES["shipped"] = """
   JOIN part ON l_partkey = p_partkey"""
 
 
-@shared
-def shipped(spark: SparkSession, d: str) -> DataFrame:
-    """One row per order line."""
+def shipped(
+    spark: SparkSession, d: str, first: int | None = None, last: int | None = None, with_part: bool = True
+) -> DataFrame:
+    """One row per order line, with columns of its part if asked for. The years are the order's."""
     line, part = table(spark, d, "lineitem"), table(spark, d, "part")
-    return (
-        line.join(part, line.l_partkey == part.p_partkey)
-        .join(placed(spark, d), F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            "l_returnflag", "l_linenumber", "l_shipdate", "l_quantity", "p_size", "p_brand",
-            cents("l_discount").alias("desconto"), cents("l_tax").alias("imposto"),
-            "o_orderstatus", "o_orderdate", "o_orderkey", "sigla_uf", "ano",
-        )
+    lines = line.join(part, line.l_partkey == part.p_partkey) if with_part else line
+    return lines.join(placed(spark, d, first, last), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "l_returnflag", "l_linenumber", "l_shipdate", "l_quantity", *(["p_size", "p_brand"] if with_part else []),
+        cents("l_discount").alias("desconto"), cents("l_tax").alias("imposto"),
+        "o_orderstatus", "o_orderdate", "o_orderkey", "sigla_uf", "ano",
     )
 
 
@@ -182,33 +184,40 @@ CTES["deaths"] = """
   FROM shipped"""
 
 
-@shared
-def deaths(spark: SparkSession, d: str) -> DataFrame:
+def death_columns() -> dict[str, Column]:
     """Order lines as deaths, with missing ages and missing birth dates."""
     size = F.col("p_size")
     cause = F.when(size <= 25, F.concat(F.lit("X"), (size + 74).cast("string"))).otherwise(
         F.concat(F.lit("Y"), F.lpad((size - 26).cast("string"), 2, "0"))
     )
-    return shipped(spark, d).select(
-        "ano",
-        "sigla_uf",
-        F.when(F.col("o_orderstatus") == "P", "fetal").otherwise("nao-fetal").alias("tipo_obito"),
-        F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "R", 1.0).alias("idade"),
-        F.when(F.col("l_linenumber") < 7, F.col("o_orderdate").cast("date")).alias("data_nascimento"),
-        F.col("l_shipdate").cast("date").alias("data_obito"),
-        F.concat(cause, F.col("l_linenumber").cast("string")).alias("causa_basica"),
-    )
+    return {
+        "tipo_obito": F.when(F.col("o_orderstatus") == "P", "fetal").otherwise("nao-fetal"),
+        "idade": F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "R", 1.0),
+        "data_nascimento": F.when(F.col("l_linenumber") < 7, F.col("o_orderdate").cast("date")),
+        "data_obito": F.col("l_shipdate").cast("date"),
+        "causa_basica": F.concat(cause, F.col("l_linenumber").cast("string")),
+    }
 
 
-@shared
-def births(spark: SparkSession, d: str) -> DataFrame:
-    return placed(spark, d).select("ano", "sigla_uf")
+def deaths(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    columns = [c.alias(n) for n, c in death_columns().items()]
+    return shipped(spark, d, first, last).select("ano", "sigla_uf", *columns)
 
 
-@shared
-def links(spark: SparkSession, d: str) -> DataFrame:
+def infant_deaths(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Deaths without their cause, which is all that needs the part."""
+    columns = [c.alias(n) for n, c in death_columns().items() if n != "causa_basica"]
+    return shipped(spark, d, first, last, with_part=False).select("ano", "sigla_uf", *columns)
+
+
+def births(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    return placed(spark, d, first, last).select("ano", "sigla_uf")
+
+
+def links(rows: DataFrame) -> DataFrame:
+    """Orders, or rolled-up orders, as employment links; ``pedidos`` says how many a row stands for."""
     active = F.when(F.col("o_orderstatus") == "F", "1").otherwise("0")
-    return placed(spark, d).select("ano", "sigla_uf", active.alias("vinculo_ativo_3112"))
+    return rows.select("ano", "sigla_uf", active.alias("vinculo_ativo_3112"), "pedidos")
 
 
 CTES["gdp"] = """
@@ -218,17 +227,14 @@ CTES["population"] = """
   FROM placed GROUP BY ALL"""
 
 
-@shared
-def gdp(spark: SparkSession, d: str) -> DataFrame:
-    rows = placed(spark, d).withColumnRenamed("nome_uf", "uf")
-    return sum_by(rows, ["ano", "cod_uf", "uf"], "valor", "pib_mil_reais")
+def gdp(rows: DataFrame) -> DataFrame:
+    return sum_by(rows.withColumnRenamed("nome_uf", "uf"), ["ano", "cod_uf", "uf"], "valor", "pib_mil_reais")
 
 
-@shared
-def population(spark: SparkSession, d: str) -> DataFrame:
+def population(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """Ordering customers per state and year."""
     return (
-        placed(spark, d)
+        placed(spark, d, first, last)
         .groupBy("ano", "cod_uf", F.col("nome_uf").alias("uf"))
         .agg(F.countDistinct("o_custkey").cast("double").alias("populacao"))
     )
@@ -238,9 +244,8 @@ CTES["per_head"] = """
   SELECT ano, sigla_uf, count(DISTINCT o_custkey)::DOUBLE AS populacao FROM placed GROUP BY ALL"""
 
 
-@shared
-def per_head(spark: SparkSession, d: str) -> DataFrame:
-    return ind.state_population(population(spark, d), states(spark, d))
+def per_head(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    return ind.state_population(population(spark, d, first, last), states(spark, d))
 
 
 CTES["deforestation"] = """
@@ -253,7 +258,6 @@ CTES["municipalities"] = """
   FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 
 
-@shared
 def deforestation(spark: SparkSession, d: str) -> DataFrame:
     """Cumulative quantity per supplier, flag and year."""
     yearly = (
@@ -269,7 +273,6 @@ def deforestation(spark: SparkSession, d: str) -> DataFrame:
     return yearly.select("ano", "id_municipio", "bioma", F.sum("area").over(so_far).alias("desmatado"))
 
 
-@shared
 def municipalities(spark: SparkSession, d: str) -> DataFrame:
     supplier, nation = table(spark, d, "supplier"), table(spark, d, "nation")
     return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
@@ -286,17 +289,38 @@ CTES["sanitation"] = """
   FROM shipped"""
 
 
-@shared
-def sanitation(spark: SparkSession, d: str) -> DataFrame:
+def sanitation_columns() -> dict[str, Column]:
     """Lines as municipalities, with missing indices and missing or zero weights."""
     number = F.col("l_linenumber")
-    return shipped(spark, d).select(
-        "ano",
-        "sigla_uf",
-        F.when(number == 6, 0.0).when(number != 7, F.col("l_quantity")).alias("populacao_urbana"),
-        F.when(F.col("l_returnflag") != "R", F.col("desconto")).alias("indice_atendimento_total_agua"),
-        F.col("imposto").alias("indice_coleta_esgoto"),
+    return {
+        "populacao_urbana": F.when(number == 6, 0.0).when(number != 7, F.col("l_quantity")),
+        "indice_atendimento_total_agua": F.when(F.col("l_returnflag") != "R", F.col("desconto")),
+        "indice_coleta_esgoto": F.col("imposto"),
+    }
+
+
+def sanitation(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    columns = [c.alias(n) for n, c in sanitation_columns().items()]
+    return shipped(spark, d, first, last, with_part=False).select("ano", "sigla_uf", *columns)
+
+
+def rolled_up_lines(spark: SparkSession, d: str, first: int, last: int) -> tuple[DataFrame, DataFrame]:
+    """Deaths with their number ``linhas``, and sanitation rows with summed weights, in one pass over the lines."""
+    death, water = death_columns(), sanitation_columns()
+    weight = water.pop("populacao_urbana")
+    kind = {**{n: "string" for n in ("tipo_obito", "causa_basica")}, **{n: "double" for n in water}}
+
+    def row(columns, lines, size):
+        cells = [columns.get(n, F.lit(None)).cast(t).alias(n) for n, t in kind.items()]
+        return F.struct(*cells, F.lit(lines).cast("long").alias("linhas"), size.alias("populacao_urbana"))
+
+    rows = F.array_compact(F.array(row(death, 1, F.lit(None).cast("double")), F.when(weight > 0, row(water, 0, weight))))
+    each = shipped(spark, d, first, last).select("ano", "sigla_uf", F.inline(rows))
+    summed = each.groupBy("ano", "sigla_uf", *kind).agg(
+        F.sum("linhas").alias("linhas"), F.sum("populacao_urbana").alias("populacao_urbana")
     )
+    rolled = stored(summed, "lines_rolled_up")
+    return rolled.where("tipo_obito IS NOT NULL"), rolled.where("tipo_obito IS NULL")
 
 
 CTES["spending"] = """
@@ -310,11 +334,10 @@ CTES["spending"] = """
   FROM placed"""
 
 
-@shared
-def spending(spark: SparkSession, d: str) -> DataFrame:
-    """Orders as account rows; one priority plays the grand total."""
+def spending(rows: DataFrame) -> DataFrame:
+    """Orders, or rolled-up orders, as account rows; one priority plays the grand total."""
     number = F.translate(F.substring("o_orderpriority", 1, 1), "12345", "01234")
-    return placed(spark, d).select(
+    return rows.select(
         "ano",
         "sigla_uf",
         F.concat(
@@ -335,12 +358,15 @@ CTES["schools"] = """
   FROM placed GROUP BY ALL"""
 
 
-@shared
-def schools(spark: SparkSession, d: str) -> DataFrame:
+def mean_value() -> Column:
+    """Mean order value, of orders or of rolled-up orders."""
+    return F.sum("valor") / F.sum("pedidos")
+
+
+def schools(rows: DataFrame) -> DataFrame:
     network = F.when(F.col("o_orderstatus") == "P", "municipal").otherwise("estadual")
     return (
-        placed(spark, d)
-        .groupBy(
+        rows.groupBy(
             "ano",
             "sigla_uf",
             network.alias("rede"),
@@ -348,8 +374,8 @@ def schools(spark: SparkSession, d: str) -> DataFrame:
             F.col("o_orderpriority").alias("anos_escolares"),
         )
         .agg(
-            F.when(F.max("valor") > 20_000_000, F.avg("valor")).alias("ideb"),
-            F.min("valor").alias("taxa_aprovacao"),
+            F.when(F.max("maior_valor") > 20_000_000, mean_value()).alias("ideb"),
+            F.min("menor_valor").alias("taxa_aprovacao"),
         )
     )
 
@@ -360,17 +386,12 @@ CTES["development"] = """
   FROM placed GROUP BY ALL"""
 
 
-@shared
-def development(spark: SparkSession, d: str) -> DataFrame:
-    return (
-        placed(spark, d)
-        .groupBy("ano", "sigla_uf")
-        .agg(
-            F.avg("valor").alias("idhm"),
-            F.min("valor").alias("idhm_e"),
-            F.when(F.max("valor") < 49_900_000, F.max("valor")).alias("idhm_l"),
-            F.sum("valor").alias("idhm_r"),
-        )
+def development(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("ano", "sigla_uf").agg(
+        mean_value().alias("idhm"),
+        F.min("menor_valor").alias("idhm_e"),
+        F.when(F.max("maior_valor") < 49_900_000, F.max("maior_valor")).alias("idhm_l"),
+        F.sum("valor").alias("idhm_r"),
     )
 
 
@@ -384,7 +405,6 @@ CTES["elections"] = """
   FROM placed"""
 
 
-@shared
 def elections(spark: SparkSession, d: str) -> DataFrame:
     """Orders as candidacies: the most valuable one of a state and year is elected.
 
@@ -413,13 +433,10 @@ CTES["quarters"] = """
   FROM placed GROUP BY ALL"""
 
 
-@shared
-def quarters(spark: SparkSession, d: str) -> DataFrame:
-    period = F.concat(F.col("ano").cast("string"), F.lit("0"), F.quarter("o_orderdate").cast("string"))
-    return (
-        placed(spark, d)
-        .groupBy("regiao", "cod_uf", F.col("nome_uf").alias("uf"), "ano", period.alias("periodo"))
-        .agg(F.sum("valor").alias("valor"), F.count(F.lit(1)).alias("pedidos"))
+def quarters(rows: DataFrame) -> DataFrame:
+    period = F.concat(F.col("ano").cast("string"), F.lit("0"), F.col("trimestre").cast("string"))
+    return rows.groupBy("regiao", "cod_uf", F.col("nome_uf").alias("uf"), "ano", period.alias("periodo")).agg(
+        F.sum("valor").alias("valor"), F.sum("pedidos").alias("pedidos")
     )
 
 
@@ -434,15 +451,14 @@ def _document(series: DataFrame, classes: Column) -> DataFrame:
     return series.select("regiao", F.concat(F.lit("["), block, F.lit(',{"id":"x"}]')).alias("json"))
 
 
-@shared
-def quarter_documents(spark: SparkSession, d: str) -> DataFrame:
+def quarter_documents(rows: DataFrame) -> DataFrame:
     """(regiao, json): a series of quarters per state; sparse quarters carry a missing mark.
 
     A response holds the states of one region and the quarters of the record, so its
     size does not grow with the number of orders.
     """
     few = F.col("pedidos") < 3
-    points = quarters(spark, d).select("regiao", "cod_uf", "uf", "periodo", _text(F.col("valor"), few).alias("v"))
+    points = quarters(rows).select("regiao", "cod_uf", "uf", "periodo", _text(F.col("valor"), few).alias("v"))
     place = F.struct(F.col("cod_uf").alias("id"), F.col("uf").alias("nome"))
     series = (
         points.groupBy("regiao", "cod_uf", "uf")
@@ -454,13 +470,10 @@ def quarter_documents(spark: SparkSession, d: str) -> DataFrame:
     return _document(series, F.array(total))
 
 
-@shared
-def year_documents(spark: SparkSession, d: str) -> DataFrame:
+def year_documents(rows: DataFrame) -> DataFrame:
     """(regiao, json): the year is a class, the key of each series is the edition."""
-    points = (
-        placed(spark, d)
-        .groupBy("regiao", "ano", "cod_uf", F.col("nome_uf").alias("uf"))
-        .agg(F.sum("valor").alias("v"), F.count(F.lit(1)).alias("n"))
+    points = rows.groupBy("regiao", "ano", "cod_uf", F.col("nome_uf").alias("uf")).agg(
+        F.sum("valor").alias("v"), F.sum("pedidos").alias("n")
     )
     place = F.struct(F.col("cod_uf").alias("id"), F.col("uf").alias("nome"))
     edition = F.create_map(F.lit("2018"), _text(F.col("v"), F.col("n") < 10))
@@ -481,7 +494,6 @@ CTES["purchases"] = """
   SELECT ano, sigla_uf, o_orderpriority AS dimensao, sum(valor) AS valor FROM placed GROUP BY ALL"""
 
 
-@shared
 def purchases(spark: SparkSession, d: str) -> DataFrame:
     """Order value per state, year and priority."""
     rows = placed(spark, d).withColumnRenamed("o_orderpriority", "dimensao")
@@ -496,7 +508,6 @@ CTES["running"] = """
          sum(valor) OVER (PARTITION BY user_id, event_type ORDER BY dia) AS acumulado FROM daily"""
 
 
-@shared
 def running(spark: SparkSession, d: str) -> DataFrame:
     """Running sum of event values per user, type and day: a cumulative series with gaps."""
     daily = (

@@ -184,11 +184,11 @@ def weighted_mean_exclude(spark, d):
     ),
 )
 def yearly_mean_count(spark, d):
-    quarters = src.quarters(spark, d).withColumn("ano", ex.period_year("periodo"))
-    by = ["cod_uf", "ano"]
-    means = measures.mean_with_count(quarters, by, "valor", "media", "trimestres")
+    quarters = src.quarters(src.placed(spark, d)).withColumn("ano", ex.period_year("periodo"))
     numbered = quarters.withColumn("trimestre", ex.period_quarter("periodo"))
-    return means.join(measures.sum_by(numbered, by, "trimestre", "soma_trimestres"), by)
+    return measures.mean_with_count(
+        numbered, ["cod_uf", "ano"], "valor", "media", "trimestres", soma_trimestres=F.sum("trimestre")
+    )
 
 
 LAGGED = """lagged AS (SELECT *, lag(acumulado) OVER w AS antes, lag(dia) OVER w AS dia_antes
@@ -440,8 +440,10 @@ def scalar_bundle(spark, d):
     ),
 )
 def year_specification(spark, d):
-    rows = src.placed(spark, d).where(Years.parse("1996,1999").matches("ano"))
-    return rows.groupBy("ano").agg(F.sum("valor").alias("valor"), F.count(F.lit(1)).alias("n"))
+    rows = src.table(spark, d, "orders").where(Years.parse("1996,1999").covers("o_orderdate"))
+    return rows.groupBy(F.year("o_orderdate").alias("ano")).agg(
+        F.sum(src.cents("o_totalprice")).alias("valor"), F.count(F.lit(1)).alias("n")
+    )
 
 
 @query(
