@@ -17,7 +17,7 @@ from civicpanel.operators.compare import (
     selected_indicators,
     share_of_total,
 )
-from civicpanel.operators.filters import choose_dimension, drop_members, keep_members
+from civicpanel.operators.filters import choose_dimension, drop_members, has_values, keep_members
 from civicpanel.operators.panel_regression import fixed_effects
 from civicpanel.operators.tenure import term_bands
 from civicpanel.sources.tables import indicator_slice
@@ -42,10 +42,36 @@ def state_series(
     return focus_series(choose_dimension(rows, "dimensao", dimension), states, focus, extras)
 
 
-def state_terms(terms: DataFrame, focus: str) -> DataFrame:
+def state_report(series: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """The series of a state in the order of the chart and of the table; None if no value was found."""
+    if not has_values(series, "valor"):
+        return None
+    return chart_order(series), table_order(series)
+
+
+def chart_order(series: DataFrame) -> DataFrame:
+    return series.orderBy("serie", "ano")
+
+
+def table_order(series: DataFrame) -> DataFrame:
+    return series.orderBy("ano", "serie")
+
+
+def state_terms(terms: DataFrame, focus: str | None) -> DataFrame:
     return term_bands(terms, focus)
 
 
+def detail_options(fact: DataFrame, indicator: str) -> DataFrame:
+    """Sub-dimensions that an indicator can be looked at by; empty for one without."""
+    return distinct_values(indicator_slice(fact, indicator), "dimensao")
+
+
+def other_states(fact: DataFrame, indicator: str, focus: str) -> DataFrame:
+    """States with rows of an indicator that the chosen one can be compared with."""
+    rows = indicator_slice(fact, indicator).where(F.col("sigla_uf") != focus)
+    return distinct_values(rows, "sigla_uf")
+
+
 def entity_options(states: DataFrame) -> DataFrame:
     """Names that can be compared: states, then regions, then the country."""
     names = states.select(F.lit(1).alias("grupo"), F.col("nome_uf").alias("entidade"))
@@ -56,7 +82,7 @@ def entity_options(states: DataFrame) -> DataFrame:
 
 
 def function_options(fact: DataFrame) -> DataFrame:
-    return distinct_values(indicator_slice(fact, fv.SPENDING_ID), "dimensao")
+    return detail_options(fact, fv.SPENDING_ID)
 
 
 def indicator_options(catalogue: DataFrame) -> DataFrame:

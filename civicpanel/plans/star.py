@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicpanel import fixed_values as fv
 from civicpanel.functions.expressions import label
 from civicpanel.operators.longform import measures_to_long, rows_per_indicator, stack, to_long
 from civicpanel.operators.lookups import resolve_state
+from civicpanel.sources.frames import indicator_dim, state_dim
+from civicpanel.sources.tables import read_indicator_csvs, write_star
 
-# Tables whose measures are columns: stored name -> column -> (indicator id, dimension).
+# Fixed values. Tables whose measures are columns: stored name -> column -> (indicator id, dimension).
 MEASURES = {
     "pib_per_capita_uf": {"pib_per_capita_reais": ("1_pib_per_capita", "")},
     "gini_uf": {"indice_gini": ("2_gini", "")},
@@ -66,6 +69,42 @@ def resolve_state_or_same(table: DataFrame, states: DataFrame) -> DataFrame:
     return resolve_state(table, states) if {"sigla_uf", "cod_uf"} & set(table.columns) else table
 
 
+@dataclass(frozen=True)
+class Consolidation:
+    """The star tables of a folder of indicator tables, and the inputs it lacks."""
+
+    fact: DataFrame
+    states: DataFrame
+    indicators: DataFrame
+    terms: DataFrame | None
+    absent: list[str]
+
+    def counts(self) -> DataFrame:
+        """(tabela, linhas) of all four tables; the term table only if there is one."""
+        return dry_run(
+            {
+                "fato_indicador": self.fact,
+                "dim_estado": self.states,
+                "dim_indicador": self.indicators,
+                "dim_governador": self.terms,
+            }
+        )
+
+    def counts_by_indicator(self) -> DataFrame:
+        return dry_run_by_indicator(self.fact)
+
+    def write(self, folder: str) -> list[str]:
+        return write_star(folder, self.fact, self.states, self.indicators, self.terms)
+
+
+def consolidate_folder(spark: SparkSession, folder: str) -> Consolidation:
+    """Read the indicator tables of a folder into a star schema; ``write`` is left to the caller."""
+    tables, absent = read_indicator_csvs(spark, folder)
+    states = state_dim(spark)
+    terms = tables.pop("governadores_uf", None)
+    return Consolidation(consolidate(tables, states), states, indicator_dim(spark), terms, absent)
+
+
 def dry_run(tables: Mapping[str, DataFrame | None]) -> DataFrame:
     """(tabela, linhas) of what would be written; writes nothing."""
     counts = [

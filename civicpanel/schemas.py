@@ -1,4 +1,7 @@
-"""Explicit schemas as DDL text. Nothing is inferred: codes stay strings."""
+"""Explicit schemas as DDL text. Nothing is inferred: codes stay strings.
+
+Fixed values: column and file names are those of the stored tables.
+"""
 
 # Raw inputs.
 DEATHS = (

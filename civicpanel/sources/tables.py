@@ -12,6 +12,14 @@ from pyspark.sql.types import StructType
 from civicpanel import schemas
 
 
+STAR = {
+    "fato_indicador": schemas.FACT,
+    "dim_estado": schemas.STATE_DIM,
+    "dim_indicador": schemas.INDICATOR_DIM,
+    "dim_governador": schemas.TERM_DIM,
+}
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -98,13 +106,32 @@ def write_star(
     return [*tables, "fato_indicador"]
 
 
+def with_columns_of(table: DataFrame | None, schema: str) -> DataFrame | None:
+    """The columns of a schema; a table that lacks one is an error, where a stated schema would read NULLs."""
+    if table is None:
+        return None
+    names = StructType.fromDDL(schema).names
+    if lacking := [n for n in names if n not in table.columns]:
+        raise ValueError(f"no column {', '.join(lacking)} in a table with {', '.join(table.columns)}")
+    return table.select(*names)
+
+
 def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame | None]:
-    return {
-        "fato_indicador": read_table(spark, f"{folder}/fato_indicador", schemas.FACT),
-        "dim_estado": read_table(spark, f"{folder}/dim_estado", schemas.STATE_DIM),
-        "dim_indicador": read_table(spark, f"{folder}/dim_indicador", schemas.INDICATOR_DIM),
-        "dim_governador": read_if_present(spark, f"{folder}/dim_governador", schemas.TERM_DIM),
-    }
+    found = {}
+    for name, schema in STAR.items():
+        read = read_if_present if name == "dim_governador" else read_table
+        found[name] = with_columns_of(read(spark, f"{folder}/{name}"), schema)
+    return found
+
+
+def read_states(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored states, by name."""
+    return with_columns_of(read_table(spark, f"{folder}/dim_estado"), schemas.STATE_DIM).orderBy("nome_uf")
+
+
+def read_indicators(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored catalogue, by id."""
+    return with_columns_of(read_table(spark, f"{folder}/dim_indicador"), schemas.INDICATOR_DIM).orderBy("id_indicador")
 
 
 def database_writer(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from civicpanel import fixed_values as fv
 from civicpanel.functions import expressions as ex
-from civicpanel.operators import association, compare, filters, longform, lookups, quality, tenure
+from civicpanel.operators import association, compare, filters, longform, lookups, quality, tenure, measures
 from civicpanel.plans import pages
 from civicpanel.sources.frames import literal_frame
 from civicpanel.sources.tables import indicator_slice
@@ -278,6 +278,40 @@ def test_indicator_options(spark):
     assert options.count() == 9 and options.where("nome = 'IDHM'").isEmpty()
 
 
+def test_edges_of_means(spark):
+    df = spark.createDataFrame([("a", 1.0, float("nan")), ("a", 4.0, 2.0), (None, 5.0, 1.0)], "k STRING, v DOUBLE, w DOUBLE")
+    assert rows(measures.weighted_mean(df, ["k"], {"m": "v"}, "w").dropna()) == [("a", 4.0)]
+    assert rows(measures.mean_with_count(df, ["k"], "v", "m", "n")) == [("a", 2.5, 2)]
+
+
+def test_state_report(spark):
+    series = spark.createDataFrame([(2016, 1.0, "a"), (2015, 2.0, "b"), (2015, None, "a")], "ano INT, valor DOUBLE, serie STRING")
+    chart, table = pages.state_report(series)
+    assert [tuple(r)[::2] for r in chart.collect()] == [(2015, "a"), (2016, "a"), (2015, "b")]
+    assert [tuple(r)[::2] for r in table.collect()] == [(2015, "a"), (2015, "b"), (2016, "a")]
+    assert pages.state_report(series.where("valor IS NULL")) is None
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["indicator_spending", "indicator_spending_chosen", "indicator_formal_employment", "indicator_infant_mortality_raw",
+     "indicator_homicide_rate", "indicator_sanitation", "indicator_school_index", "year_specification"],
+)
+def test_year_ranges_reach_every_scan_of_orders(spark, data, name):
+    from workload import load
+
+    plan = load()[0][name](spark, data)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "orders.parquet" in line]
+    assert scans and all("GreaterThanOrEqual(o_orderdate" in line and "LessThan(o_orderdate" in line for line in scans)
+
+
+@pytest.mark.parametrize("name", ["weighted_mean", "weighted_mean_exclude", "indicator_sanitation", "indicator_infant_mortality_raw"])
+def test_part_is_read_only_where_used(spark, data, name):
+    from workload import load
+
+    assert "part.parquet" not in load()[0][name](spark, data)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_slice_of_one_indicator_drops_the_other_branches(spark, data):
     """Only the table of the chosen indicator is read, also before the fact is stored."""
     orders = spark.read.parquet(f"{data}/orders.parquet").selectExpr("1 AS ano", "'a' AS sigla_uf", "o_totalprice AS x")

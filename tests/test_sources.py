@@ -193,6 +193,18 @@ def test_indicator_csvs(spark, tmp_path):
     assert rows(found["governadores_uf"], "sigla_uf", "fim_mandato", "requer_revisao_manual") == [
         ("AC", dt.date(2018, 12, 31), False), ("AM", None, True),
     ]
+    whole = star.consolidate_folder(spark, str(tmp_path))
+    assert rows(whole.counts()) == [("dim_estado", 27), ("dim_governador", 2), ("dim_indicador", 12), ("fato_indicador", 2)]
+    assert rows(whole.counts_by_indicator(), "id_indicador") == [("2_gini",), ("8_ideb",)]
+    assert len(whole.absent) == 9
+    assert set(whole.write(f"{tmp_path}/star")) == {"dim_estado", "dim_indicador", "dim_governador", "fato_indicador"}
+    names = [r.nome_uf for r in tables.read_states(spark, f"{tmp_path}/star").collect()]
+    assert len(names) == 27 and names == sorted(names)
+    ids = [r.id_indicador for r in tables.read_indicators(spark, f"{tmp_path}/star").collect()]
+    assert ids == sorted(ids)
+    frames.state_dim(spark).withColumnRenamed("regiao", "regiaum").write.parquet(f"{tmp_path}/bad/dim_estado")
+    with pytest.raises(ValueError, match="no column regiao"):
+        tables.read_states(spark, f"{tmp_path}/bad")
 
 
 def test_database_options():

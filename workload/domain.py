@@ -384,19 +384,16 @@ def dry_run_by_indicator(spark, d):
         *ORDER_CTES,
         "elections",
         select=f"""SELECT 'fato_indicador' AS tabela, count(*) AS linhas FROM ({ORDER_FACT})
+          UNION ALL SELECT 'dim_indicador', {len(fv.INDICATORS)}
           UNION ALL SELECT 'dim_estado', count(*) FROM estado
           UNION ALL SELECT 'dim_governador', count(*) FROM ({GOVERNORS})""",
     ),
 )
 def dry_run_tables(spark, d):
-    return star.dry_run(
-        {
-            "fato_indicador": order_fact(spark, d),
-            "dim_estado": src.states(spark, d),
-            "dim_governador": governor_table(spark, d),
-            "dim_ausente": None,
-        }
+    whole = star.Consolidation(
+        order_fact(spark, d), src.states(spark, d), frames.indicator_dim(spark), governor_table(spark, d), []
     )
+    return whole.counts()
 
 
 @query(

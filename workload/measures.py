@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from civicpanel.functions import expressions as ex
 from civicpanel.functions.parameters import Years
 from civicpanel.operators import compare, filters, longform, lookups, measures
 from civicpanel.sources.frames import literal_frame
+from civicpanel.sources.scratch import shared_folder
+from civicpanel.sources.tables import read_states
 from workload import inputs as src
 from workload.inputs import with_ctes
 from workload.registry import query
@@ -456,12 +460,27 @@ def missing_years(spark, d):
     return lookups.missing_years(seen, 1990, 2005)
 
 
+@query(
+    "covered_years",
+    """SELECT DISTINCT year(o_orderdate)::INTEGER AS ano, 'c' || year(o_orderdate) AS id_categoria
+       FROM orders WHERE year(o_orderdate) BETWEEN 1990 AND 1998""",
+)
+def covered_years(spark, d):
+    """The categories of the requested years that exist."""
+    year = F.year("o_orderdate")
+    mapping = src.table(spark, d, "orders").select(year.alias("ano"), F.concat(F.lit("c"), year).alias("id_categoria"))
+    return lookups.covered_years(mapping.distinct(), 1990, 1998)
+
+
 @query(
     "dimension_sorted",
     with_ctes("estado", select="SELECT cod_uf, sigla_uf, nome_uf, regiao FROM estado ORDER BY nome_uf"),
 )
 def dimension_sorted(spark, d):
-    return src.states(spark, d).drop("n_nationkey").orderBy("nome_uf")
+    """Through the reader of the stored dimension."""
+    folder = f"{shared_folder(spark)}/civicpanel/star-{uuid.uuid4().hex}"
+    src.states(spark, d).drop("n_nationkey").write.parquet(f"{folder}/dim_estado")
+    return read_states(spark, folder)
 
 
 @query(

@@ -62,7 +62,12 @@ SHARE = """(SELECT ano, sigla_uf, dimensao, valor / sum(valor) OVER (PARTITION B
         WHERE dimensao = '5-LOW' GROUP BY ano"""),
 )
 def page_state_series(spark, d):
-    series = pages.state_series(
+    """In the order of the chart."""
+    return pages.chart_order(to_digits(low_spending(spark, d), 8, "valor"))
+
+
+def low_spending(spark, d):
+    return pages.state_series(
         order_fact(spark, d),
         src.states(spark, d),
         "4_despesa_funcao",
@@ -71,25 +76,65 @@ def page_state_series(spark, d):
         as_share=True,
         extras=["NATION_6"],
     )
-    return to_digits(series, 8, "valor")
+
+
+@query(
+    "page_state_table",
+    on_fact("""SELECT ano, round(valor, 6) AS valor, nome_uf AS serie FROM fact JOIN estado USING (sigla_uf)
+        WHERE id_indicador = '5b_emprego_formal' AND sigla_uf = 'NATION_4'
+      UNION ALL SELECT ano, round(avg(valor), 6), 'Média ' || regiao FROM fact JOIN estado USING (sigla_uf)
+        WHERE id_indicador = '5b_emprego_formal'
+        AND regiao = (SELECT regiao FROM estado WHERE sigla_uf = 'NATION_4') GROUP BY ano, regiao
+      UNION ALL SELECT ano, round(avg(valor), 6), 'Média Brasil' FROM fact
+        WHERE id_indicador = '5b_emprego_formal' GROUP BY ano"""),
+)
+def page_state_table(spark, d):
+    """In the order of the table, if any value is found."""
+    fact, states = order_fact(spark, d), src.states(spark, d)
+    chart_and_table = pages.state_report(pages.state_series(fact, states, "5b_emprego_formal", "NATION_4"))
+    return to_digits(chart_and_table[1], 6, "valor")
+
+
+TERMS = f"""SELECT sigla_uf, year(inicio_mandato)::INTEGER AS ano_inicio,
+    year(fim_mandato)::INTEGER AS ano_fim,
+    string_split_regex(trim(nome_candidato), '\\s+')[1] || ' (' || sigla_partido || ')' AS rotulo,
+    ((row_number() OVER (PARTITION BY sigla_uf ORDER BY inicio_mandato, nome_candidato) - 1) % 2)::INTEGER AS faixa
+  FROM ({GOVERNORS}) WHERE NOT requer_revisao_manual"""
 
 
 @query(
     "page_state_terms",
     with_ctes(
         "elections",
-        select=f"""SELECT sigla_uf, year(inicio_mandato)::INTEGER AS ano_inicio,
-            year(fim_mandato)::INTEGER AS ano_fim,
-            string_split_regex(trim(nome_candidato), '\\s+')[1] || ' (' || sigla_partido || ')' AS rotulo,
-            ((row_number() OVER (PARTITION BY sigla_uf ORDER BY inicio_mandato, nome_candidato) - 1) % 2)::INTEGER
-              AS faixa
-          FROM ({GOVERNORS}) WHERE NOT requer_revisao_manual""",
+        select=TERMS,
     ),
 )
 def page_state_terms(spark, d):
     return pages.state_terms(governor_table(spark, d), None)
 
 
+@query("page_one_state_terms", with_ctes("elections", select=f"SELECT * FROM ({TERMS}) WHERE sigla_uf = 'NATION_6'"))
+def page_one_state_terms(spark, d):
+    return pages.state_terms(governor_table(spark, d), "NATION_6")
+
+
+@query(
+    "page_detail_options",
+    on_fact("SELECT DISTINCT dimensao FROM fact WHERE id_indicador = '3_idhm' AND dimensao <> '' ORDER BY 1"),
+)
+def page_detail_options(spark, d):
+    return pages.detail_options(order_fact(spark, d), "3_idhm")
+
+
+@query(
+    "page_other_states",
+    on_fact("""SELECT DISTINCT sigla_uf FROM fact WHERE id_indicador = '5b_emprego_formal'
+      AND sigla_uf <> 'NATION_4' ORDER BY 1"""),
+)
+def page_other_states(spark, d):
+    return pages.other_states(order_fact(spark, d), "5b_emprego_formal", "NATION_4")
+
+
 @query(
     "page_entity_options",
     with_ctes(
@@ -166,13 +211,15 @@ def page_correlations(spark, d):
 @query(
     "page_regressions",
     on_fact(
-        f"""SELECT dimensao AS funcao, * EXCLUDE (dimensao, erro_padrao) FROM (
+        f"""SELECT split_part(dimensao, '|', 1) AS funcao, split_part(dimensao, '|', 2) AS indicador_nome,
+          * EXCLUDE (dimensao, erro_padrao), round(erro_padrao, 4) AS erro_padrao FROM (
           WITH RECURSIVE panel AS (
-            SELECT s.dimensao, s.sigla_uf, s.ano, s.valor AS x, f.valor AS y FROM {SHARE} s
-            JOIN {NAMED} f ON s.sigla_uf = f.sigla_uf AND s.ano = f.ano AND indicador_nome = '{OUTCOMES[1]}'),
-          {SWEEPS}), (SELECT '{OUTCOMES[1]}' AS indicador_nome)"""
+            SELECT s.dimensao || '|' || indicador_nome AS dimensao, s.sigla_uf, s.ano, s.valor AS x, f.valor AS y
+            FROM {SHARE} s JOIN {NAMED} f ON s.sigla_uf = f.sigla_uf AND s.ano = f.ano),
+          {SWEEPS})"""
     ),
 )
 def page_regressions(spark, d):
-    out = pages.regressions(order_fact(spark, d), indicator_dim(spark), OUTCOMES[1:], as_share=True)
-    return out.drop("erro_padrao").withColumn("valor_p", F.bround("valor_p", 3))
+    """Every function against both indicators."""
+    out = pages.regressions(order_fact(spark, d), indicator_dim(spark), OUTCOMES, as_share=True)
+    return to_digits(out, 4, "erro_padrao")
