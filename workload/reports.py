@@ -189,11 +189,15 @@ def page_spending_series(spark, d):
 
 @query(
     "page_outcome_series",
-    on_fact(f"""SELECT ano, indicador_nome, unidade, round(valor, 2) AS valor, entidade,
+    on_fact(f"""SELECT ano, indicador_nome, unidade,
+        round(CASE indicador_nome WHEN '{OUTCOMES[0]}' THEN valor / 1e6 ELSE valor END, 8) AS valor, entidade,
         entidade || ' — ' || indicador_nome AS serie FROM {FOUND}"""),
 )
 def page_outcome_series(spark, d):
-    return to_digits(found(spark, d), 2, "valor")
+    """The larger indicator in millions, so that eight digits are left of both."""
+    large = F.col("indicador_nome") == OUTCOMES[0]
+    series = found(spark, d).withColumn("valor", F.when(large, F.col("valor") / 1e6).otherwise(F.col("valor")))
+    return to_digits(series, 8, "valor")
 
 
 @query(
