@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch. Texts are long: the default of 10,000 could hold gigabytes.
-BATCH_ROWS = 256
+BATCH_ROWS = 512
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
