@@ -5,12 +5,13 @@ import re
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from test_near_duplicates import brute as brute_components
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from civicpanel.llm import toxicity
 
+from .test_near_duplicates import brute as brute_components
+
 FOLDER = "/root/testdata/sf0.001"
 
 
