@@ -4,11 +4,12 @@
     Rows with the same set are one class, so exact copies, however many, go on as one.
 2.  The forest holds the classes in several orders, each by its own sequence of signature
     columns. Classes that agree in the first ``DEPTH`` columns of an order are neighbours in
-    it. A region of an order with too many of them is searched deeper: its classes are told
-    apart by further columns until regions are small.
+    it and meet in a region.
 3.  Inside a region, classes whose whole signatures agree in ``LIKELY`` of the columns become
     candidates of each other, a spanning forest of which is kept. True pairs agree in 80 % and
-    more, so candidate components hold together what belongs together.
+    more, so candidate components hold together what belongs together. Of a region with more
+    than ``REGION`` classes all are candidates, without a look at their signatures: no pair
+    is lost there, and none of its rows are collected.
 4.  The full sets of a candidate component are compared: breadth first, each class with those
     not yet reached, so a group of copies of one text needs about two comparisons each and
     no pair of the group is ever listed. Components beyond ``BLOCK`` shingles are cut into
@@ -36,9 +37,9 @@ from civicpanel.llm.common import LOWER, STEP, RunHashes, bytes_of, mix64, small
 from civicpanel.llm.components import connected
 
 COLUMNS = 128
-#: Orders of the forest; columns that neighbours share at least; columns that a deeper search adds up to.
-ORDERS, DEPTH, DEEPER = 32, 6, (10, 16, 24, 40)
-#: Classes of a region that are compared with each other; more than this lead to a deeper search.
+#: Orders of the forest; columns that neighbours share. All orders miss a pair of similarity 0.8 three times in 10**5.
+ORDERS, DEPTH = 40, 5
+#: Classes of a region whose signatures are compared; of more than this all are candidates.
 REGION = 256
 #: Share of equal signature columns of a candidate; a similarity of 0.8 misses it once in 10**7.
 LIKELY = 0.6
@@ -137,43 +138,22 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
         for batch in batches:
             lines = matrix(batch["signature"])
             for order in range(ORDERS):
-                yield pd.DataFrame({"region": region_keys(lines, order, DEPTH), "tree": order, "id": batch["id"]})
-
-    def deepen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            lines, region = matrix(batch["signature"]), batch["region"].to_numpy(np.int64).copy()
-            depth = np.searchsorted([REGION * 8**i for i in range(len(DEEPER))], batch["size"].to_numpy())
-            for order in batch["tree"].unique():
-                for step, columns in enumerate(DEEPER, 1):
-                    mine = (batch["tree"].to_numpy() == order) & (depth == step)
-                    if mine.any():
-                        region[mine] = region_keys(lines[mine], order, columns)
-            yield pd.DataFrame({"region": region, "id": batch["id"], "signature": batch["signature"]})
+                yield pd.DataFrame({"region": region_keys(lines, order, DEPTH), "id": batch["id"]})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in pieces(runs(batches, "region"), REGION):
+        for batch in runs(batches, "region"):
             ids, lines = batch["id"].to_numpy(), matrix(batch["signature"]).astype(np.uint8)
             alike = lambda v, rest: (lines[rest] == lines[v]).mean(axis=1) >= LIKELY  # noqa: E731, B023
             a, b = spanning(len(ids), alike)
             yield pd.DataFrame({"a": ids[a], "b": ids[b]})
 
-    regions = classes.select("id", "signature").mapInPandas(base, "region long, tree int, id long")
-    shared = regions.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
-    members = regions.join(shared, "region").join(classes.select("id", "signature"), "id")
-    deep = members.mapInPandas(deepen, "region long, id long, signature binary")
-    together = deep.repartition("region").sortWithinPartitions("region", "signature", "id")
-    return together.mapInPandas(compare, "a long, b long")
-
-
-def pieces(groups: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
-    """Groups cut into overlapping pieces: each repeats the first row and the one before it.
-
-    Only regions that agree in the deepest search's columns are still larger than a piece.
-    """
-    for group in groups:
-        yield group.iloc[:rows]
-        for at in range(rows, len(group), rows - 2):
-            yield pd.concat([group.iloc[:1], group.iloc[at - 1 : at - 1 + rows]])
+    regions = classes.select("id", "signature").mapInPandas(base, "region long, id long")
+    shared = regions.groupBy("region").agg(F.count("*").alias("size"), F.min("id").alias("least")).where("size > 1")
+    members = written(regions.join(shared, "region"), "members")
+    crowded = members.where(F.col("size") > REGION).select(F.col("id").alias("a"), F.col("least").alias("b"))
+    few = members.where(F.col("size") <= REGION).select("region", "id").join(classes.select("id", "signature"), "id")
+    together = few.repartition("region").sortWithinPartitions("region", "signature", "id")
+    return together.mapInPandas(compare, "a long, b long").union(crowded)
 
 
 def spanning(n: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

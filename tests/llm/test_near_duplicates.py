@@ -68,6 +68,14 @@ def test_blocks_and_deep_regions_change_nothing(make_docs, monkeypatch):
     assert sorted(map(tuple, nd.near_duplicates(make_docs(rows), 2).collect())) == brute(rows, 2)
 
 
+def test_many_tails_of_one_text(make_docs):
+    """Copies that are alike to the base but not to each other: all depend on meeting the base."""
+    base = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(base))] + [(i, " ".join(base + [f"t{i}x{j}" for j in range(49)])) for i in range(1, 4001)]
+    found = nd.near_duplicates(make_docs(rows), 2).collect()
+    assert {r.component_id for r in found} == {0} and [r.doc_id for r in found if r.kept] == [0]
+
+
 def test_awkward_documents(make_docs):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One"), (5, "one"), (6, "one two"), (9, "ONE\ttwo"), (7, "Éa b"), (8, "éa b"),
             (10, "x " * 100_000), (11, "x"), (12, "y" * 300_000)]
