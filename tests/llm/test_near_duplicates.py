@@ -76,6 +76,21 @@ def test_many_tails_of_one_text(make_docs):
     assert {r.component_id for r in found} == {0} and [r.doc_id for r in found if r.kept] == [0]
 
 
+def test_no_crowded_region_is_collected(make_docs, monkeypatch):
+    """A thousand near copies share most regions; no task holds one of them."""
+    whole = nd.runs
+
+    def bounded(batches, *keys):
+        for group in whole(batches, *keys):
+            assert keys != ("region",) or len(group) <= 256
+            yield group
+
+    monkeypatch.setattr(nd, "runs", bounded)
+    text = " ".join(f"w{i}" for i in range(300))
+    found = nd.near_duplicates(make_docs([(i, f"{text} serial{i}") for i in range(1000)]), 2).collect()
+    assert {r.component_id for r in found} == {0}
+
+
 def test_awkward_documents(make_docs):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One"), (5, "one"), (6, "one two"), (9, "ONE\ttwo"), (7, "Éa b"), (8, "éa b"),
             (10, "x " * 100_000), (11, "x"), (12, "y" * 300_000)]
