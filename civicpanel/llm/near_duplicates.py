@@ -1,7 +1,8 @@
 """Near duplicates by MinHash signatures in an LSH forest, confirmed on full shingle sets.
 
 1.  Every text becomes its set of word shingles (64-bit hashes) and a signature of minima.
-    Rows with the same set are one class, so exact copies, however many, go on as one.
+    Rows with the same set are one class, named by a 64-bit hash of it, so exact copies,
+    however many, go on as one.
 2.  The forest holds the classes in several orders, each by its own sequence of signature
     columns. Classes that agree in the first ``DEPTH`` columns of an order are neighbours in
     it and meet in a region.
@@ -18,9 +19,10 @@
 
 Words are what stands between white space after lower-casing A-Z; a text with fewer words
 than a shingle has its whole sequence as its only shingle. NULL texts and texts without
-words have empty sets and are linked with nothing. Rows with the same id count as one
-document; NULL ids count as larger than all others, a component of such rows only has a
-NULL id. An empty table gives no rows.
+words have empty sets and are linked with nothing. Rows are linked by their texts, never by
+their ids: different texts with one id, or without one, are judged apart. NULL ids count as
+larger than all others, a component of such rows only has a NULL id. An empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -85,7 +87,7 @@ def region_keys(signatures: np.ndarray, order: int, depth: int) -> np.ndarray:
 
 
 def signed(docs: DataFrame, words: int) -> DataFrame:
-    """(id, n_shingles, set_key, signature) of every row."""
+    """(id, key, n_shingles, node, signature) of every row; ``node`` is the class."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = RunHashes(WORD_BYTES)
@@ -94,22 +96,25 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "id": batch["id"],
+                    "key": batch["key"],
                     "n_shingles": [len(s) for s in sets],
-                    "set_key": [set_key(s) for s in sets],
+                    "node": [class_of(s) for s in sets],
                     "signature": [signature(s).tobytes() for s in sets],
                 }
             )
 
-    return texts_of(docs).mapInPandas(sign, "id long, n_shingles long, set_key binary, signature binary")
+    return texts_of(docs).mapInPandas(sign, "id long, key long, n_shingles long, node long, signature binary")
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
+    """(id, key, text) of every row; ``key`` tells texts of one id apart."""
     small_batches(docs.sparkSession)
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), text_or_empty().alias("text"))
+    found = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), text_or_empty().alias("text"))
+    return found.select("id", F.xxhash64("text").alias("key"), "text")
 
 
-def set_key(shingles: np.ndarray) -> bytes:
-    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+def class_of(shingles: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def matrix(column: pd.Series) -> np.ndarray:
@@ -138,21 +143,21 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
         for batch in batches:
             lines = matrix(batch["signature"])
             for order in range(ORDERS):
-                yield pd.DataFrame({"region": region_keys(lines, order, DEPTH), "id": batch["id"]})
+                yield pd.DataFrame({"region": region_keys(lines, order, DEPTH), "node": batch["node"]})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in runs(batches, "region"):
-            ids, lines = batch["id"].to_numpy(), matrix(batch["signature"]).astype(np.uint8)
+            nodes, lines = batch["node"].to_numpy(), matrix(batch["signature"]).astype(np.uint8)
             alike = lambda v, rest: (lines[rest] == lines[v]).mean(axis=1) >= LIKELY  # noqa: E731, B023
-            a, b = spanning(len(ids), alike)
-            yield pd.DataFrame({"a": ids[a], "b": ids[b]})
+            a, b = spanning(len(nodes), alike)
+            yield pd.DataFrame({"a": nodes[a], "b": nodes[b]})
 
-    regions = classes.select("id", "signature").mapInPandas(base, "region long, id long")
-    shared = regions.groupBy("region").agg(F.count("*").alias("size"), F.min("id").alias("least")).where("size > 1")
+    regions = classes.select("node", "signature").mapInPandas(base, "region long, node long")
+    shared = regions.groupBy("region").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1")
     members = written(regions.join(shared, "region"), "members")
-    crowded = members.where(F.col("size") > REGION).select(F.col("id").alias("a"), F.col("least").alias("b"))
-    few = members.where(F.col("size") <= REGION).select("region", "id").join(classes.select("id", "signature"), "id")
-    together = few.repartition("region").sortWithinPartitions("region", "signature", "id")
+    crowded = members.where(F.col("size") > REGION).select(F.col("node").alias("a"), F.col("least").alias("b"))
+    few = members.where(F.col("size") <= REGION).select("region", "node").join(classes.select("node", "signature"), "node")
+    together = few.repartition("region").sortWithinPartitions("region", "signature", "node")
     return together.mapInPandas(compare, "a long, b long").union(crowded)
 
 
@@ -173,34 +178,36 @@ def spanning(n: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> tuple[n
 
 def confirmed_edges(docs: DataFrame, classes: DataFrame, candidates: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b) of a spanning forest of the links between classes of one candidate component."""
-    members = classes.select("id", "n_shingles", "set_key").join(candidates.withColumnRenamed("node", "id"), "id")
+    members = classes.select("node", "n_shingles", "row.id", "row.key").join(candidates, "node")
     totals = members.groupBy("component").agg(F.sum("n_shingles").alias("total"))
     blocks = F.greatest(F.lit(1), F.ceil(F.col("total") / (BLOCK / 2))).cast("int")
     placed = (
         members.join(totals.withColumn("blocks", F.when(F.col("total") <= BLOCK, 1).otherwise(blocks)), "component")
-        .withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks").cast("long")).cast("int"))
-        .select("id", "set_key", "component", "block", "blocks")
+        .withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks").cast("long")).cast("int"))
+        .select("id", "key", "node", "component", "block", "blocks")
     )
 
     def reread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = RunHashes(WORD_BYTES)
+        hashes, read = RunHashes(WORD_BYTES), set()
         for batch in batches:
+            # Rows with the same id and text stand for one class: one of them is enough.
+            batch = batch[~(batch["node"].duplicated() | batch["node"].isin(read))]
             sets = [shingle_set(t, words, hashes) for t in batch["text"]]
-            same = [set_key(s) == bytes(k) for s, k in zip(sets, batch["set_key"])]
-            found = batch.drop(columns=["text", "set_key"]).assign(shingles=[s.tobytes() for s in sets])
-            yield found[same]
+            same = [class_of(s) == n for s, n in zip(sets, batch["node"])]
+            read.update(batch["node"][same])
+            yield batch.drop(columns=["id", "key", "text"]).assign(shingles=[s.tobytes() for s in sets])[same]
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in runs(batches, "component", "pair"):
-            ids, first = np.unique(group["id"].to_numpy(), return_index=True)
-            if len(ids) < 2:
+            nodes, first = np.unique(group["node"].to_numpy(), return_index=True)
+            if len(nodes) < 2:
                 continue
             sets = [np.frombuffer(s, np.uint64) for s in group["shingles"].iloc[first]]
-            a, b = spanning(len(ids), overlaps(sets, percent))
-            yield pd.DataFrame({"a": ids[a], "b": ids[b]})
+            a, b = spanning(len(nodes), overlaps(sets, percent))
+            yield pd.DataFrame({"a": nodes[a], "b": nodes[b]})
 
-    texts = texts_of(docs).join(placed, "id")
-    sets = texts.mapInPandas(reread, "id long, component long, block int, blocks int, shingles binary")
+    texts = texts_of(docs).join(placed, ["id", "key"])
+    sets = texts.mapInPandas(reread, "node long, component long, block int, blocks int, shingles binary")
     # One block is compared with itself; of several, every two (both orders have one name).
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     pairs = F.when(F.col("blocks") == 1, F.array(F.lit("0"))).otherwise(
@@ -209,8 +216,8 @@ def confirmed_edges(docs: DataFrame, classes: DataFrame, candidates: DataFrame,
             lambda j: F.concat_ws("-", F.least(j, F.col("block")), F.greatest(j, F.col("block"))),
         )
     )
-    dealt = sets.withColumn("pair", F.explode(pairs)).select("component", "pair", "id", "shingles")
-    together = dealt.repartition("component", "pair").sortWithinPartitions("component", "pair", "id")
+    dealt = sets.withColumn("pair", F.explode(pairs)).select("component", "pair", "node", "shingles")
+    together = dealt.repartition("component", "pair").sortWithinPartitions("component", "pair", "node")
     return together.mapInPandas(compare, "a long, b long")
 
 
@@ -233,43 +240,56 @@ def overlaps(sets: list[np.ndarray], percent: int) -> Callable[[int, np.ndarray]
     return linked
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
+def judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(id, key, n_shingles, node, component, first) of every row of ``docs``.
 
-    Documents with 100 * intersection >= ``percent`` * union of their sets of ``words``-word
-    shingles are linked; ``component_id`` is the smallest id that links lead to.
+    ``component`` is the smallest id that links lead to, ``first`` the (id, node) of the class
+    that stays; both are the row's own where it has no shingles.
     """
     rows = written(signed(docs, words), "signed")
     classes = written(
-        rows.where("n_shingles > 0").groupBy("set_key").agg(
-            F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
+        rows.where("n_shingles > 0").groupBy("node").agg(
+            F.min(F.struct("id", "key")).alias("row"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
         ),
         "classes",
     )
     candidates = connected(candidate_edges(classes))
-    links = written(confirmed_edges(docs, classes, candidates, words, percent), "links")
-    found = connected(links).withColumnRenamed("node", "id")
-    of_class = classes.select("set_key", "id").join(found, "id", "left")
-    of_class = of_class.select("set_key", F.coalesce("component", "id").alias("component"))
-    known = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
+    found = connected(written(confirmed_edges(docs, classes, candidates, words, percent), "links"))
+    firsts = found.join(classes.select("node", "row.id"), "node").groupBy("component").agg(F.min(F.struct("id", "node")).alias("first"))
+    of_class = classes.select("node", "row.id").join(found.join(firsts, "component").select("node", "first"), "node", "left")
+    of_class = of_class.select("node", F.coalesce("first", F.struct("id", "node")).alias("first"))
     return (
-        rows.drop("signature").join(of_class, "set_key", "left")
-        .withColumn("component", F.coalesce("component", "id"))
-        .select(
-            known("id").alias("doc_id"), "n_shingles", known("component").alias("component_id"),
-            (F.col("id") == F.col("component")).alias("kept"),
-        )
+        rows.drop("signature").join(of_class, "node", "left")
+        .withColumn("first", F.coalesce("first", F.struct("id", "node")))
+        .select("id", "key", "n_shingles", "node", F.col("first.id").alias("component"), "first")
+    )
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
+
+    Documents with 100 * intersection >= ``percent`` * union of their sets of ``words``-word
+    shingles are linked; ``component_id`` is the smallest id that links lead to. Of several
+    texts with that id in a component, the rows of one are ``kept``.
+    """
+    known = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
+    return judged(docs, words, percent).select(
+        known("id").alias("doc_id"), "n_shingles", known("component").alias("component_id"),
+        (F.struct("id", "node") == F.col("first")).alias("kept"),
     )
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component, columns as they are.
 
-    Of several rows with one id, or without one, those with equal texts count once.
+    Of several rows with that id, or without one, a component keeps one; of rows without
+    shingles, those with equal ids and texts count once.
     """
-    kept = near_duplicates(docs, words, percent).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id")).distinct()
+    kept = judged(docs, words, percent).where(F.struct("id", "node") == F.col("first"))
+    one = F.when(F.col("n_shingles") > 0, F.lit(0)).otherwise(F.col("key"))
+    kept = kept.groupBy("id", "node", one).agg(F.min("key").alias("_text")).select(F.col("id").alias("_id"), "_text")
     whole = docs.select(
         F.struct("*").alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"),
         F.xxhash64(text_or_empty()).alias("_text"),
     )
-    return whole.join(kept, "_id", "left_semi").dropDuplicates(["_id", "_text"]).select("_row.*")
+    return whole.join(kept, ["_id", "_text"], "left_semi").dropDuplicates(["_id", "_text"]).select("_row.*")

@@ -109,6 +109,17 @@ def test_null_and_repeated_ids(make_docs):
     assert {r.text for r in nd.one_of_each(docs, 2).collect()} >= {"a b c", "d e f"}
 
 
+def test_texts_of_one_id_are_judged_apart(make_docs):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(30))
+    rows = [(5, text("a")), (None, text("a") + " z"), (None, text("b")), (None, text("c")), (None, text("c") + " z"),
+            (7, text("d")), (8, text("d") + " z"), (8, text("e")), (9, text("e") + " z"), (6, text("f") + " z"), (8, text("f"))]
+    found = [tuple(r) for r in nd.near_duplicates(make_docs(rows), 2).collect()]
+    assert sorted((r[0], r[2]) for r in found if r[0]) == [(5, 5), (6, 6), (7, 7), (8, 6), (8, 7), (8, 8), (9, 8)]
+    assert sorted(str(r[2]) for r in found if not r[0]) == ["5", "None", "None", "None"]
+    kept = {r.text for r in nd.one_of_each(make_docs(rows), 2).collect()}
+    assert len(kept) == 6 and kept - {text("c"), text("c") + " z"} == {text("a"), text("b"), text("d"), text("e"), text("f") + " z"}
+
+
 def test_empty_table(make_docs):
     assert nd.near_duplicates(make_docs([])).collect() == []
 
