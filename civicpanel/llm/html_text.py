@@ -89,7 +89,10 @@ LABELLED = [
 ]
 
 # Fixed values of HTML.
-RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|select|canvas|audio|video"
+#: Elements without markup inside: all up to their end tag, or to the end of the page, is no text.
+RAW = "script|style|textarea"
+#: Elements whose whole content is left out. Self-closed, or without an end tag further on, they are empty.
+SKIPPED = set("noscript template svg math iframe object select canvas audio video".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
@@ -113,12 +116,13 @@ BOILERPLATE_ROLES = set("alert banner complementary contentinfo dialog form menu
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    rf"|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>"""
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-zA-Z][^>]*\Z",
     re.S | re.I,
 )
+SKIPPED_END = re.compile(rf"</({'|'.join(sorted(SKIPPED))})(?=[\s/>])", re.I)
 NAME = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -166,9 +170,11 @@ class Blocks:
     zone: int = 0
     links: int = 0
     heading: bool = False
+    #: Open elements of ``SKIPPED``.
+    skipped: int = 0
 
     def text(self, raw: str) -> None:
-        if raw:
+        if raw and not self.skipped:
             self.pieces.append((raw, self.links > 0))
 
     def flush(self) -> None:
@@ -185,7 +191,9 @@ class Blocks:
     def close_to(self, at: int) -> None:
         for tag, outside in reversed(self.stack[at:]):
             self.zone = outside
-            if tag in HEADINGS:
+            if tag in SKIPPED:
+                self.skipped -= 1
+            elif tag in HEADINGS and not self.skipped:
                 self.heading = False
         del self.stack[at:]
 
@@ -198,6 +206,11 @@ class Blocks:
                 return
 
     def open(self, tag: str, rest: str) -> None:
+        if tag in SKIPPED or self.skipped:
+            if tag not in VOID | INLINE and not rest.endswith("/"):
+                self.stack.append((tag, self.zone))
+                self.skipped += tag in SKIPPED
+            return
         if tag == "a":
             self.links = 1
             return
@@ -225,14 +238,17 @@ class Blocks:
         self.zone = zone_of(tag, rest, self.zone, in_article)
 
     def close(self, tag: str) -> None:
+        if self.skipped and tag in INLINE:
+            return
         if tag == "a":
             self.links = 0
             return
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in SKIPPED and not self.skipped:
             self.flush()
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] == tag:
-                self.flush()
+                if tag not in SKIPPED and not any(t in SKIPPED for t, _ in self.stack[:at]):
+                    self.flush()
                 self.close_to(at)
                 return
 
@@ -240,6 +256,7 @@ class Blocks:
 def blocks(page: str) -> list[Block]:
     """Flat blocks of a page in order."""
     out, at = Blocks(), 0
+    ends = {m[1].lower(): m.start() for m in SKIPPED_END.finditer(page)}
     for m in TOKEN.finditer(page):
         out.text(page[at : m.start()])
         at = m.end()
@@ -249,7 +266,7 @@ def blocks(page: str) -> list[Block]:
         tag = tag.lower()
         if m["end"]:
             out.close(tag)
-        else:
+        elif tag not in SKIPPED or ends.get(tag, -1) >= at:
             out.open(tag, m["rest"])
     out.text(page[at:])
     out.flush()

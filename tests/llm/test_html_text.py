@@ -39,6 +39,11 @@ def test_tree_learns_its_table(tree):
         ("<article><p>a<b>b</b><i> c</i></p></div></span><p>1 < 2 &am", "ab c 1 < 2 &am"),
         (f"<body><ul><li><a>A</a><li><a>B</a></ul><h2>Title of it</h2><p>{LONG}</p><p>{LONG}</p><p>Go</p></body>",
          f"Title of it {LONG} {LONG}"),
+        *((f"<article><p>a {tag} b</p><p>c</p></article>", "a b c") for tag in (
+            "<svg width='1'/>", "<math/>", "<object data=x />", "<audio src=x />", "<video src=x>", "<iframe src=x />",
+            "<video-player></video-player>", "<style-guide></style-guide>", "<svg><title>no</title><g><svg/><a>no</a></g></svg>",
+            "<video><source src=x><p>no</p></video>", "<noscript><div>no</div></noscript>", "<script-x>", "<style>no</style >")),
+        ("<article><div>a<svg><g>no</div><p>b</p></article><svg></svg>", "a b"),
         ("<article><p title='a>b'>x</p><p data-x=\"un'closed\">y</p></article>", "x y"),
     ],
 )
