@@ -34,6 +34,8 @@ from civicpanel.llm.common import written
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 ARITY = 8
+#: Rows of a level in one file, at most about.
+FILE_ROWS = 1 << 14
 PATH = "array<struct<left: string, right: string>>"
 
 
@@ -96,12 +98,19 @@ def parents(nodes: DataFrame, arity: int = ARITY) -> DataFrame:
     )
 
 
-def climb(nodes: DataFrame, arity: int = ARITY) -> list[DataFrame]:
+def few_files(nodes: DataFrame, rows: int) -> DataFrame:
+    """Nodes in files of about ``FILE_ROWS``; levels shrink, and so do their files."""
+    return nodes.coalesce(max(1, -(-rows // FILE_ROWS)))
+
+
+def climb(nodes: DataFrame, rows: int, arity: int = ARITY) -> list[DataFrame]:
     """``nodes`` and the levels above, written, until every branch has one node: its last."""
-    levels = [written(nodes, "level")]
+    levels = [written(few_files(nodes, rows), "level")]
     most = levels[0].agg(F.max("n")).first()[0] or 0
     while most > 1:
-        levels.append(written(parents(levels[-1].select("branch", "i", "n", "h"), arity), "level"))
+        above = parents(levels[-1].select("branch", "i", "n", "h"), arity)
+        rows = levels[-1].where(F.col("i") % arity == 0).count()
+        levels.append(written(few_files(above, rows), "level"))
         most = -(-most // arity)
     return levels
 
@@ -151,11 +160,11 @@ def merkle(
         F.col(key).alias("key"), F.col(group).alias("group"), field(F.col(group)).alias("branch"),
         leaf_digest([F.col(f) for f in fields]).alias("h"), *[F.col(k).alias(n) for n, k in named.items()],
     )
-    tables = climb(numbered(leaves, "branch", ["key", "h"]), arity)
+    tables = climb(numbered(leaves, "branch", ["key", "h"]), rows.count(), arity)
     subroots = tables[-1].select("branch", F.col("h").alias("subroot"))
     groups = tables[0].where("i = 0").select("branch", "group").join(subroots, "branch")
     groups = groups.select(F.lit("").alias("branch"), F.col("branch").alias("member"), "group", F.col("subroot").alias("h"))
-    upper = climb(numbered(groups, "branch", ["group"]), arity)
+    upper = climb(numbered(groups, "branch", ["group"]), subroots.count(), arity)
     top = upper[-1].select("branch", F.col("h").alias("root"), F.lit("").alias("subroot"), F.array().cast(PATH).alias("path"))
     members = descend(upper, top, arity).select(F.col("member").alias("branch"), F.col("h").alias("subroot"), "root", "path")
     found = descend(tables, members, arity)
