@@ -29,8 +29,8 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table of the shared folder and read it back.
+def written(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """Write ``df`` as a table of the shared folder and read it back. ``batch_rows`` bounds its Arrow batches.
 
     Lineage ends here, so a lost executor costs one read, and what a Python stage has
     computed is computed once.
@@ -39,10 +39,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")  # the shuffles behind a written table are not needed again
-    small_batches(spark)
+    small_batches(spark, batch_rows)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
+        small_batches(spark)
         spark.conf.set(CLEANUP, before) if before else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
