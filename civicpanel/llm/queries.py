@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicpanel.llm import (
-    decontamination, fingerprints, html_text, manifest_query, negatives_query, near_duplicates, packing, sharding, substrings, token_counts,
-    toxicity, url_filter,
+    byte_bpe_query, decontamination, fingerprints, html_text, manifest_query, near_duplicates, negatives_query, packing, sharding,
+    substrings, token_counts, toxicity, url_filter,
 )
 from civicpanel.llm.common import tables, written
 from civicpanel.llm.registry import QUERIES, SQL, query
 
-__all__ = ["QUERIES", "SQL", "manifest_query", "negatives_query"]
+__all__ = ["QUERIES", "SQL", "byte_bpe_query", "manifest_query", "negatives_query"]
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
