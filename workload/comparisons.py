@@ -247,7 +247,7 @@ P_VALUE = """round_even(CASE WHEN z > 5 THEN 0.0 ELSE 1 - exp(-z * z) * list_sum
     z ** (2 * i + 1) / gamma(i + 1.5) FOR i IN range(0, 120)]) END, 4)"""
 
 # The same regression by another way: centre on states and years in turn until nothing moves.
-SWEEPS = """
+SWEPT = """
   swept(k, dimensao, sigla_uf, ano, x, y) AS (
     SELECT 0, dimensao, sigla_uf, ano, x, y FROM panel
     UNION ALL
@@ -267,7 +267,7 @@ SWEEPS = """
       sqrt(g / (g - 1) * (n - 1) / (n - g - t) * m) / sxx AS se
     FROM slopes JOIN meat USING (dimensao)),
   tested AS (SELECT *, abs(b / se) / sqrt(2) AS z FROM fitted)
-  SELECT dimensao, n AS n_obs, g AS n_entities, round(b, 5) AS efeito, round(se, 5) AS erro_padrao,
+  SELECT dimensao, n AS n_obs, g AS n_entities, {effect} AS efeito, {error} AS erro_padrao,
     """ + P_VALUE + """ AS valor_p,
     CASE WHEN n < 30 OR g < 5 THEN 'Dados insuficientes para rodar a regressão com confiança'
       WHEN z >= 1.959963984540054 / sqrt(2) AND b < 0 THEN
@@ -278,13 +278,18 @@ SWEEPS = """
   FROM tested"""
 
 
+def sweeps(effect="round(b, 5)", error="round(se, 5)"):
+    """The regression's CTEs and result; ``effect`` and ``error`` round it, once."""
+    return SWEPT.replace("{effect}", effect).replace("{error}", error)
+
+
 def on_panel(cause, x, where=""):
     return with_ctes(
         "purchases",
         select=f"""SELECT * FROM (WITH RECURSIVE {BALANCES}, {SHARES},
           panel AS (SELECT dimensao, p.sigla_uf, p.ano, {x} AS x, saldo / 1e3 AS y
             FROM {cause} p JOIN balances b ON p.sigla_uf = b.sigla_uf AND p.ano = b.ano {where}),
-          {SWEEPS})""",
+          {sweeps()})""",
     )
 
 

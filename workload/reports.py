@@ -9,7 +9,7 @@ from civicpanel.plans import pages
 from civicpanel.sources.frames import indicator_dim
 from civicpanel.sources.tables import indicator_slice as one_indicator
 from workload import inputs as src
-from workload.comparisons import SWEEPS, to_digits
+from workload.comparisons import sweeps, to_digits
 from workload.domain import GOVERNORS, ORDER_CTES, ORDER_FACT, governor_table, order_fact
 from workload.inputs import with_ctes
 from workload.registry import query
@@ -212,18 +212,30 @@ def page_correlations(spark, d):
     return pages.correlations(spent(spark, d), found(spark, d), lag=1)
 
 
+def of_large(large, small):
+    """SQL: one figure for the larger indicator, in millions, another for the smaller."""
+    return f"CASE WHEN dimensao LIKE '%|{OUTCOMES[0]}' THEN {large} ELSE {small} END"
+
+
 @query(
     "page_regressions",
     on_fact(
         f"""SELECT split_part(dimensao, '|', 1) AS funcao, split_part(dimensao, '|', 2) AS indicador_nome,
-          * EXCLUDE (dimensao, erro_padrao), round(erro_padrao, 4) AS erro_padrao FROM (
+          * EXCLUDE (dimensao) FROM (
           WITH RECURSIVE panel AS (
             SELECT s.dimensao || '|' || indicador_nome AS dimensao, s.sigla_uf, s.ano, s.valor AS x, f.valor AS y
             FROM {SHARE} s JOIN {NAMED} f ON s.sigla_uf = f.sigla_uf AND s.ano = f.ano),
-          {SWEEPS})"""
+          {sweeps(of_large("round(b / 1e6, 6)", "round_even(b, 5)"), of_large("round(se / 1e6, 6)", "round(se, 4)"))})"""
     ),
 )
 def page_regressions(spark, d):
-    """Every function against both indicators."""
+    """Every function against both indicators; effects on the larger one in millions, so that digits fit its size."""
     out = pages.regressions(order_fact(spark, d), indicator_dim(spark), OUTCOMES, as_share=True)
-    return to_digits(out, 4, "erro_padrao")
+    large = F.col("indicador_nome") == OUTCOMES[0]
+    effect, error = F.col("efeito"), F.col("erro_padrao")
+    return out.withColumns(
+        {
+            "efeito": F.when(large, F.round(effect / 1e6, 6)).otherwise(effect),
+            "erro_padrao": F.when(large, F.round(error / 1e6, 6)).otherwise(F.round(error, 4)),
+        }
+    )
