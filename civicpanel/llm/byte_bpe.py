@@ -3,7 +3,8 @@
 Encoding runs in the ``tokenizers`` library over Arrow batches. A byte-level vocabulary writes
 each byte as a printable character; ranks become a vocabulary and the merges that make each
 token out of two shorter ones, and matches of the split pattern that are a token are taken
-whole. The offsets of a token count the bytes of the tokens before it; they are turned into
+whole. A match has the same ids wherever it stands, so the library gets each different one
+once for as long as a task keeps it. The offsets of a token count the bytes of the tokens before it; they are turned into
 characters by the bytes that begin one. A token that holds part of a character has the span
 of the whole character, so spans of neighbours can overlap.
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 import base64
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ from civicpanel.llm.packing import byte_alphabet
 
 #: Characters of a piece of a long text, and of the texts that the library gets at once.
 PIECE, AT_ONCE = 1 << 18, 1 << 19
+#: Characters of the words whose ids a task keeps; beyond, it begins anew.
+KEPT_LETTERS = 1 << 21
 
 #: Name of the column that is read, inside a job.
 GIVEN = "_given"
@@ -89,22 +93,33 @@ class Bytes:
 
 
 class Codec:
-    """A vocabulary in the ``tokenizers`` library."""
+    """A vocabulary in the ``tokenizers`` library, and the ids of the words seen so far."""
 
-    def __init__(self, path: str, pattern: str):
-        from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+    def __init__(self, built: str, table: Bytes, pattern: str):
+        import regex
+        from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
-        table = ranks(path)
-        vocabulary = {written_as(token): i for token, i in table.items()}
-        pairs = [(written_as(a), written_as(b)) for a, b in merges(table)]
-        self.tokenizer = Tokenizer(models.BPE(vocab=vocabulary, merges=pairs, ignore_merges=True))
-        split = pre_tokenizers.Split(Regex(pattern), "isolated")
-        self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([split, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.bytes = byte_table(path)
+        self.tokenizer, self.bytes, self.words_of = Tokenizer.from_str(built), table, regex.compile(pattern).findall
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.letters = 0
+        self.flat, self.starts, self.lengths = (np.zeros(0, np.int64) for _ in range(3))
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words that were not seen before."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int64, int(lengths.sum()))])
+        self.letters += sum(map(len, words))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; pieces go to the library some at a time, which bounds what it holds."""
+        """Ids of each text; ``AT_ONCE`` characters are split into words at a time."""
         cut = [(row, piece) for row, text in enumerate(texts) for piece in pieces(text)]
         found: list[list[np.ndarray]] = [[np.zeros(0, np.int32)] for _ in texts]
         at = 0
@@ -113,9 +128,17 @@ class Codec:
             while end < len(cut) and (end == at or size + len(cut[end][1]) <= AT_ONCE):
                 size += len(cut[end][1])
                 end += 1
-            encoded = self.tokenizer.encode_batch_fast([p for _, p in cut[at:end]], add_special_tokens=False)
-            for (row, _), e in zip(cut[at:end], encoded):
-                found[row].append(np.array(e.ids, np.int32))
+            words = [self.words_of(p) for _, p in cut[at:end]]
+            if self.letters > KEPT_LETTERS:
+                self.forget()
+            if new := set(chain.from_iterable(words)).difference(self.index):
+                self.learn(list(new))
+            for (row, _), each in zip(cut[at:end], words):
+                place = np.fromiter(map(self.index.__getitem__, each), np.int64, len(each))
+                lengths = self.lengths[place]
+                ends = np.cumsum(lengths)
+                total = int(ends[-1]) if len(ends) else 0
+                found[row].append(self.flat[np.arange(total) + np.repeat(self.starts[place] - ends + lengths, lengths)].astype(np.int32))
             at = end
         return [np.concatenate(f) for f in found]
 
@@ -130,12 +153,24 @@ class Codec:
         return first.astype(np.int32), before[ends].astype(np.int32), int((inside[starts] | inside[ends]).sum())
 
 
-def written_as(token: bytes) -> str:
-    return "".join(LETTERS[b] for b in token)
+def built(path: str) -> tuple[str, Bytes]:
+    """The tokenizer of a file of ranks as text, and its byte table. Words come split already, so it splits no more."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    table = ranks(path)
+    vocabulary = {written_as(token): i for token, i in table.items()}
+    pairs = [(written_as(a), written_as(b)) for a, b in merges(table)]
+    tokenizer = Tokenizer(models.BPE(vocab=vocabulary, merges=pairs, ignore_merges=True, cache_capacity=0))
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    return tokenizer.to_str(), Bytes(vocabulary)
+
 
+def codec(path: str, pattern: str) -> Codec:
+    return Codec(*built(path), pattern)
 
-def byte_table(path: str) -> Bytes:
-    return Bytes({written_as(token): i for token, i in ranks(path).items()})
+
+def written_as(token: bytes) -> str:
+    return "".join(LETTERS[b] for b in token)
 
 
 def pieces(text: str) -> list[str]:
@@ -163,9 +198,10 @@ def encode(docs: DataFrame, path: str, pattern: str, column: str = "text") -> Da
     """``ids``, ``starts``, ``ends`` (arrays of int) and ``split_tokens``, those with part of a character, for a text column."""
     results = ["ids", "starts", "ends", "split_tokens"]
     kept = [c for c in docs.columns if c not in (column, *results)]
+    vocabulary = built(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Codec(path, pattern)
+        coder = Codec(*vocabulary, pattern)
         for batch in batches:
             texts = [t or "" for t in batch[GIVEN].to_pylist()]
             ids = coder.ids(texts)
@@ -199,9 +235,9 @@ def decode(encoded: DataFrame, path: str, column: str = "ids", texts: bool = Tru
     results = StructType.fromDDL("bytes binary, unknown_ids int" + (", head binary, text string, tail binary" if texts else ""))
     kept = [c for c in encoded.columns if c != column and c not in results.names]
     names = [*kept, *results.names]
+    table = Bytes({written_as(token): i for token, i in ranks(path).items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = byte_table(path)
         for batch in batches:
             given = batch[GIVEN]
             flat, ends = given.flatten().fill_null(-1).to_numpy(), np.cumsum(given.value_lengths().fill_null(0).to_numpy())

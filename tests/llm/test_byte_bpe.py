@@ -32,7 +32,7 @@ def noise(rng, n):
 def test_ids_equal_tiktoken(reference):
     rng = random.Random(1)
     texts = [noise(rng, rng.randint(1, 300)) for _ in range(1500)] + ["", "a" * 5000, " " * 3000, "ab" * 2000, "\n \n" * 900, "é" * 999, "I'll we've 's''s"]
-    for text, ids in zip(texts, bb.Codec(RANKS, PATTERN).ids(texts)):
+    for text, ids in zip(texts, bb.codec(RANKS, PATTERN).ids(texts)):
         assert ids.tolist() == reference.encode_ordinary(text)
 
 
@@ -42,13 +42,31 @@ def test_pieces_change_nothing(reference, monkeypatch):
     rng = random.Random(2)
     texts = [noise(rng, 900) + " x  y　 z \n w" * 20 for _ in range(60)] + ["y" * 400, " " * 400]
     assert max(len(bb.pieces(t)) for t in texts) > 3 and all("".join(bb.pieces(t)) == t for t in texts)
-    for text, ids in zip(texts, bb.Codec(RANKS, PATTERN).ids(texts)):
+    for text, ids in zip(texts, bb.codec(RANKS, PATTERN).ids(texts)):
         assert ids.tolist() == reference.encode_ordinary(text)
 
 
+def test_forgetting_changes_nothing(reference, monkeypatch):
+    monkeypatch.setattr(bb, "KEPT_LETTERS", 300)
+    monkeypatch.setattr(bb, "AT_ONCE", 200)
+    rng = random.Random(6)
+    coder, texts = bb.codec(RANKS, PATTERN), [noise(rng, 120) for _ in range(80)]
+    assert [i.tolist() for i in coder.ids(texts)] == [reference.encode_ordinary(t) for t in texts]
+    assert coder.letters < 900
+
+
+def test_every_character_splits_alike(reference):
+    """The split pattern means the same to the libraries, for all characters."""
+    coder = bb.codec(RANKS, PATTERN)
+    every = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    texts = ["".join(f"a{c}b 1{c}2 {c}{c} .{c}." for c in every[at : at + 500]) for at in range(0, len(every), 500)]
+    expected = reference.encode_ordinary_batch(texts, num_threads=8)
+    assert [i.tolist() for i in coder.ids(texts)] == expected
+
+
 def test_offsets(reference):
     rng = random.Random(3)
-    coder = bb.Codec(RANKS, PATTERN)
+    coder = bb.codec(RANKS, PATTERN)
     for text in [noise(rng, 200) for _ in range(100)] + ["", "plain words", "🇧🇷"]:
         ids = coder.ids([text])[0]
         starts, ends, split = coder.offsets(text, ids)
@@ -66,7 +84,7 @@ def test_offsets(reference):
 
 def test_ids_cut_anywhere_lose_nothing():
     rng = random.Random(4)
-    coder, table = bb.Codec(RANKS, PATTERN), bb.byte_table(RANKS)
+    coder, table = bb.codec(RANKS, PATTERN), bb.built(RANKS)[1]
     for _ in range(200):
         text = noise(rng, 60)
         ids, parts = coder.ids([text])[0], []
