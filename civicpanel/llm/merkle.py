@@ -160,7 +160,8 @@ def merkle(
         F.col(key).alias("key"), F.col(group).alias("group"), field(F.col(group)).alias("branch"),
         leaf_digest([F.col(f) for f in fields]).alias("h"), *[F.col(k).alias(n) for n, k in named.items()],
     )
-    tables = climb(numbered(leaves, "branch", ["key", "h"]), rows.count(), arity)
+    leaves = written(leaves, "leaves")  # the texts are read once; ranges are cut over digests
+    tables = climb(numbered(leaves, "branch", ["key", "h"]), leaves.count(), arity)
     subroots = tables[-1].select("branch", F.col("h").alias("subroot"))
     groups = tables[0].where("i = 0").select("branch", "group").join(subroots, "branch")
     groups = groups.select(F.lit("").alias("branch"), F.col("branch").alias("member"), "group", F.col("subroot").alias("h"))
