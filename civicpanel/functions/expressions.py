@@ -54,6 +54,11 @@ def years_between(moment: str | Column, first: int, last: int) -> Column:
     return (moment >= F.lit(date(first, 1, 1))) & (moment < F.lit(date(last + 1, 1, 1)))
 
 
+def in_years(moment: str | Column, years: Iterable[int]) -> Column:
+    """Some years of a date or timestamp, as ranges that parquet can push down."""
+    return reduce(Column.__or__, [years_between(moment, y, y) for y in sorted(set(years))], F.lit(False))
+
+
 def subtotal_code(code: str | Column, pattern: str, grand_total: str) -> Column:
     """Codes of a hierarchy that are sub-totals, without the grand total."""
     code = col(code)

@@ -14,6 +14,7 @@ from civicpanel.functions.expressions import label
 from civicpanel.operators.longform import measures_to_long, rows_per_indicator, stack, to_long
 from civicpanel.operators.lookups import resolve_state
 from civicpanel.sources.frames import indicator_dim, state_dim
+from civicpanel.sources.rejects import read_good_indicators
 from civicpanel.sources.tables import read_indicator_csvs, write_star
 
 # Fixed values. Tables whose measures are columns: stored name -> column -> (indicator id, dimension).
@@ -78,6 +79,8 @@ class Consolidation:
     indicators: DataFrame
     terms: DataFrame | None
     absent: list[str]
+    #: (tabela, arquivo, linha) of lines that were left out, if that was asked for.
+    rejects: DataFrame | None = None
 
     def counts(self) -> DataFrame:
         """(tabela, linhas) of all four tables; the term table only if there is one."""
@@ -97,12 +100,22 @@ class Consolidation:
         return write_star(folder, self.fact, self.states, self.indicators, self.terms)
 
 
-def consolidate_folder(spark: SparkSession, folder: str) -> Consolidation:
-    """Read the indicator tables of a folder into a star schema; ``write`` is left to the caller."""
-    tables, absent = read_indicator_csvs(spark, folder)
+def consolidate_folder(spark: SparkSession, folder: str, on_bad: str = "fail") -> Consolidation:
+    """Read the indicator tables of a folder into a star schema; ``write`` is left to the caller.
+
+    ``on_bad``: a line that does not fit its table ends the job (``fail``), or is left out and
+    reported in ``rejects`` (``reject``).
+    """
+    if on_bad not in ("fail", "reject"):
+        raise ValueError(f"unknown on_bad {on_bad!r}")
+    rejects = None
+    if on_bad == "fail":
+        tables, absent = read_indicator_csvs(spark, folder)
+    else:
+        tables, rejects, absent = read_good_indicators(spark, folder)
     states = state_dim(spark)
     terms = tables.pop("governadores_uf", None)
-    return Consolidation(consolidate(tables, states), states, indicator_dim(spark), terms, absent)
+    return Consolidation(consolidate(tables, states), states, indicator_dim(spark), terms, absent, rejects)
 
 
 def dry_run(tables: Mapping[str, DataFrame | None]) -> DataFrame:

@@ -6,6 +6,6 @@ from workload.registry import QUERIES, SQL
 
 
 def load():
-    for module in ("measures", "comparisons", "domain", "reports"):
+    for module in ("measures", "comparisons", "domain", "reports", "upkeep"):
         importlib.import_module(f"workload.{module}")
     return QUERIES, SQL

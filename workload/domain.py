@@ -21,7 +21,7 @@ PER_CAPITA = """SELECT ano, cod_uf, uf, pib_mil_reais, populacao,
 
 def per_capita_table(spark, d, rows=None, population=None):
     """The tables take rolled-up orders in place of the orders themselves."""
-    return ind.gdp_per_capita(src.gdp(rows or src.placed(spark, d)), population or src.population(spark, d))
+    return ind.gdp_per_capita(src.gdp(rows or src.placed(spark, d)), population or src.population(src.customers(spark, d)))
 
 
 @query("indicator_gdp_per_capita", with_ctes("gdp", "population", select=PER_CAPITA))
@@ -340,14 +340,17 @@ def order_tables(spark, d, rows, population):
 
 
 def order_fact(spark, d):
-    """The fact of the indicators that need orders only, from one roll-up of the orders."""
-    tables = order_tables(spark, d, src.rolled_up(spark, d), src.population(spark, d))
-    return star.consolidate(tables, src.states(spark, d))
+    """The fact of the indicators that need orders only, stored.
+
+    Two passes over the orders: one roll-up, and the bitmaps of their customers.
+    """
+    tables = order_tables(spark, d, src.rolled_up(spark, d), src.population(src.customers(spark, d)))
+    return stored(star.consolidate(tables, src.states(spark, d)), "order_fact")
 
 
 def whole_tables(spark, d):
-    """All tables from one roll-up of the orders, one of the lines and one count of customers."""
-    rows, population = src.rolled_up(spark, d), stored(src.population(spark, d), "population")
+    """All tables from one roll-up of the orders, one of the lines and the bitmaps of customers."""
+    rows, population = src.rolled_up(spark, d), src.population(src.customers(spark, d))
     per_head = ind.state_population(population, src.states(spark, d))
     deaths, sanitation = src.rolled_up_lines(spark, d, 1996, 2000)
     return {

@@ -7,11 +7,14 @@ is counted in cents: whole numbers in doubles, whose sums do not depend on their
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from civicpanel.functions.expressions import years_between
+from civicpanel.functions.expressions import in_years, years_between
+from civicpanel.operators import distinct, rollup
 from civicpanel.operators.lookups import with_group_values
 from civicpanel.operators.measures import sum_by
 from civicpanel.plans import indicators as ind
@@ -113,15 +116,21 @@ CTES["placed"] = """
   JOIN estado ON c_nationkey = n_nationkey"""
 
 
-def orders_of(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
-    """Orders, of some years if given; the range reaches the scan."""
+def orders_of(
+    spark: SparkSession, d: str, first: int | None = None, last: int | None = None, years: Sequence[int] | None = None
+) -> DataFrame:
+    """Orders, of a range or a list of years if given; both reach the scan."""
     orders = table(spark, d, "orders")
+    if years is not None:
+        return orders.where(in_years("o_orderdate", years))
     return orders if first is None else orders.where(years_between("o_orderdate", first, last))
 
 
-def placed(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
+def placed(
+    spark: SparkSession, d: str, first: int | None = None, last: int | None = None, years: Sequence[int] | None = None
+) -> DataFrame:
     """One row per order. ``pedidos``, ``menor_valor`` and ``maior_valor`` are its share in a rolled-up row."""
-    orders, customer = orders_of(spark, d, first, last), table(spark, d, "customer")
+    orders, customer = orders_of(spark, d, first, last, years), table(spark, d, "customer")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         states(spark, d), F.col("c_nationkey") == F.col("n_nationkey")
     )
@@ -138,16 +147,16 @@ def placed(spark: SparkSession, d: str, first: int | None = None, last: int | No
 GRAIN = ["ano", "trimestre", "cod_uf", "sigla_uf", "nome_uf", "regiao", "o_orderpriority", "o_orderstatus", "c_mktsegment"]
 
 
+#: How the measures of rolled-up orders merge.
+STATES = {"valor": "sum", "pedidos": "sum", "menor_valor": "min", "maior_valor": "max"}
+
+
 def rolled_up(spark: SparkSession, d: str) -> DataFrame:
     """Orders at the finest grain that a report needs, in the columns of ``placed``.
 
     One pass over the orders; every measure but the number of customers follows from it.
     """
-    rows = placed(spark, d).groupBy(*GRAIN).agg(
-        F.sum("valor").alias("valor"), F.sum("pedidos").alias("pedidos"),
-        F.min("menor_valor").alias("menor_valor"), F.max("maior_valor").alias("maior_valor"),
-    )
-    return stored(rows, "orders_rolled_up")
+    return stored(rollup.roll_up(placed(spark, d), GRAIN, STATES), "orders_rolled_up")
 
 
 CTES["shipped"] = """
@@ -231,13 +240,19 @@ def gdp(rows: DataFrame) -> DataFrame:
     return sum_by(rows.withColumnRenamed("nome_uf", "uf"), ["ano", "cod_uf", "uf"], "valor", "pib_mil_reais")
 
 
-def population(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
-    """Ordering customers per state and year."""
-    return (
-        placed(spark, d, first, last)
-        .groupBy("ano", "cod_uf", F.col("nome_uf").alias("uf"))
-        .agg(F.countDistinct("o_custkey").cast("double").alias("populacao"))
-    )
+PLACES = ["ano", "cod_uf", "sigla_uf", "nome_uf", "regiao"]
+
+
+def customers(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Which customers ordered, per year and state, as stored bitmaps. One pass over the orders."""
+    return stored(distinct.bitmap_states(placed(spark, d, first, last), PLACES, "o_custkey"), "customers")
+
+
+def population(states: DataFrame) -> DataFrame:
+    """Ordering customers per state and year, from the bitmaps of ``customers``."""
+    named = states.withColumnRenamed("nome_uf", "uf")
+    counted = distinct.count_states(named, ["ano", "cod_uf", "uf"], "populacao")
+    return counted.withColumn("populacao", F.col("populacao").cast("double"))
 
 
 CTES["per_head"] = """
@@ -245,7 +260,7 @@ CTES["per_head"] = """
 
 
 def per_head(spark: SparkSession, d: str, first: int | None = None, last: int | None = None) -> DataFrame:
-    return ind.state_population(population(spark, d, first, last), states(spark, d))
+    return ind.state_population(population(customers(spark, d, first, last)), states(spark, d))
 
 
 CTES["deforestation"] = """

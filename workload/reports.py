@@ -167,12 +167,12 @@ SPENT = _grains(SHARE, "ano", "dimensao")
 FOUND = _grains(NAMED, "ano", "indicador_nome", "unidade")
 
 
-def spent(spark, d, **more):
-    return pages.spending_series(order_fact(spark, d), src.states(spark, d), as_share=True, **more)
+def spent(spark, d, fact=None, **more):
+    return pages.spending_series(fact or order_fact(spark, d), src.states(spark, d), as_share=True, **more)
 
 
-def found(spark, d, **more):
-    return pages.outcome_series(order_fact(spark, d), src.states(spark, d), indicator_dim(spark), OUTCOMES, **more)
+def found(spark, d, fact=None, **more):
+    return pages.outcome_series(fact or order_fact(spark, d), src.states(spark, d), indicator_dim(spark), OUTCOMES, **more)
 
 
 @query(
@@ -209,7 +209,8 @@ def page_outcome_series(spark, d):
       WHERE n >= 3"""),
 )
 def page_correlations(spark, d):
-    return pages.correlations(spent(spark, d), found(spark, d), lag=1)
+    fact = order_fact(spark, d)
+    return pages.correlations(spent(spark, d, fact), found(spark, d, fact), lag=1)
 
 
 def of_large(large, small):
