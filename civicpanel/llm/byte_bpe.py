@@ -41,7 +41,7 @@ from civicpanel.llm.packing import byte_alphabet
 #: Characters of a piece of a long text, and of the texts that the library gets at once.
 PIECE, AT_ONCE = 1 << 18, 1 << 19
 #: Characters of the words whose ids a task keeps; beyond, it begins anew.
-KEPT_LETTERS = 1 << 21
+KEPT_LETTERS = 1 << 23
 
 #: Name of the column that is read, inside a job.
 GIVEN = "_given"

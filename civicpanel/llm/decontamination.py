@@ -1,25 +1,27 @@
 """Benchmark passages in documents by latent semantic retrieval, verified by common subsequences.
 
 1.  Benchmark items are cut into passages of at most ``LONGEST`` words. Their terms are the
-    vocabulary, weighted by inverse document frequency counted over all documents. No term
-    weighs less than ``LEAST``, so passages of frequent words, or copied into most of the
-    documents, are found like others.
-2.  A randomised SVD finds the latent space of TF-IDF passages: those of the benchmark, which
-    count ``ITEM_WEIGHT`` times, and those of a bounded sample of documents. Its products with
-    the passages run as Spark jobs; what reaches the driver is as large as the vocabulary of a
-    block of the benchmark.
-3.  Every document is read in overlapping windows of about the length of the passages. A
-    window whose projection covers ``COVER`` of a passage's weight is a candidate, whatever
-    other words, rarer than the passage's, stand beside it.
+    vocabulary, weighted by inverse document frequency counted over all documents in one pass.
+    No term weighs less than ``LEAST``, so passages of frequent words, or copied into most of
+    the documents, are found like others.
+2.  A randomised SVD of the TF-IDF passages, its products as Spark jobs, finds one latent space
+    for the benchmark, of at most ``RANK`` dimensions and half as many as there are passages.
+    What reaches the driver is as large as the vocabulary of a block of the benchmark.
+3.  Every document is read once, in overlapping windows of about the length of the passages.
+    A window is a candidate if the cosine of both in the space is ``COSINE`` and its projection
+    covers ``COVER`` of the passage's length; both are much looser than the check, so words
+    replaced by others or put in between hide nothing. What chance has brought close in the
+    few dimensions goes by its own words: they must have ``SHARED`` of the passage's weight.
 4.  The words around a candidate window are compared with the passage by their longest common
     subsequence: a passage is found if ``VERBATIM`` of its words are there in order, or if
     ``PARAPHRASE`` are and so is ``ANSWER`` of its last quarter, where the answer stands.
     Passages of fewer than ``SHORT`` words must be there in full.
 
-The benchmark is the stated query set; it is searched in blocks of ``BLOCK`` passages, each
-against all documents, so what is broadcast is bounded. Words are lower-cased runs of letters
-and digits, punctuation does not count. NULL and empty texts and items contain and match
-nothing. Each row is judged by itself, repeated ids and rows too.
+The benchmark is the stated query set. Up to ``BLOCK`` passages take one pass for the document
+frequencies and one scan; what is broadcast is as large as their vocabulary times the rank, and
+bounded by the block. Words are lower-cased runs of letters and digits, punctuation does not
+count. NULL and empty texts and items contain and match nothing. Each row is judged by itself,
+repeated ids and rows too.
 """
 
 from __future__ import annotations
@@ -32,24 +34,22 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicpanel.llm.common import RunHashes, bytes_of, small_batches, text_or_empty, written
+from civicpanel.llm.common import RunHashes, bytes_of, small_batches, text_or_empty
 from civicpanel.llm.fingerprints import TERM_BYTES
 
 LONGEST = 96
 #: Window sizes; a passage is searched with the smallest that holds it. Windows advance by a third.
 WINDOWS = (24, 48, LONGEST)
-BLOCK = 256
-RANK, EXTRA, POWER = 256, 32, 2
+#: Passages of one search.
+BLOCK = 1 << 14
+RANK, EXTRA, POWER = 96, 32, 2
 #: Weight of a term that is in every document.
 LEAST = 0.05
-ITEM_WEIGHT = 30.0
-#: Documents whose passages shape the latent space, at most about.
-SAMPLE = 2_000
-COVER = 0.5
+COSINE, COVER, SHARED = 0.45, 0.22, 0.12
 VERBATIM, PARAPHRASE, ANSWER = 0.7, 0.5, 0.8
 SHORT = 8
-#: Positions that are searched at once.
-CHUNK = 100_000
+#: Occurrences of terms that are added up at once, and windows that are compared at once.
+CHUNK, TILE = 1024, 4096
 GAP = 2 * LONGEST
 
 HITS = "doc_id long, item_id long, cosine double, common double, answer double"
@@ -69,7 +69,7 @@ class Words:
 
 @dataclass
 class Passages:
-    """A block of benchmark passages and, once trained, their latent space."""
+    """Benchmark passages and, once trained, their latent space."""
 
     item: np.ndarray
     words: list[np.ndarray]
@@ -83,11 +83,6 @@ class Passages:
         known = np.flatnonzero(self.vocabulary[at] == hashes)
         return known, at[known]
 
-    def vector(self, hashes: np.ndarray) -> np.ndarray:
-        """TF-IDF over the vocabulary."""
-        _, index = self.terms(hashes)
-        return np.bincount(index, minlength=len(self.vocabulary)) * self.weight
-
 
 def blocks_of(benchmark: DataFrame) -> Iterator[Passages]:
     """Benchmark passages in blocks. The driver holds one block at a time."""
@@ -133,30 +128,16 @@ def with_weights(docs: DataFrame, block: Passages) -> Passages:
     return block
 
 
-def sampled_passages(docs: DataFrame, block: Passages, seed: int = 0) -> DataFrame:
-    """TF-IDF rows (terms, values) of unit length: the benchmark's, weighted, and those of sampled documents."""
-    spark = docs.sparkSession
-    share = min(1.0, SAMPLE / max(1, docs.count()))
-    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", F.length("text")), 11) * F.lit(2.0**-53)
-
-    def unit(hashes: np.ndarray, weight: float) -> tuple[bytes, bytes]:
-        vector = block.vector(hashes)
-        terms = np.flatnonzero(vector)
-        values = weight * vector[terms] / max(np.linalg.norm(vector), 1e-12)
-        return terms.astype(np.int32).tobytes(), values.tobytes()
+def passage_rows(docs: DataFrame, block: Passages) -> DataFrame:
+    """TF-IDF rows (terms, values) of unit length, one for each passage."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = RunHashes(TERM_BYTES)
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                found = hashes(bytes_of(text.lower()))
-                rows += [unit(found[at : at + WINDOWS[1]], 1.0) for at in range(0, len(found), WINDOWS[1])]
-            yield pd.DataFrame(rows, columns=["terms", "values"])
+    def unit(hashes: np.ndarray) -> tuple[bytearray, bytearray]:
+        _, index = block.terms(hashes)
+        terms, counts = np.unique(index, return_counts=True)
+        values = counts * block.weight[terms]
+        return bytearray(terms.astype(np.int32).tobytes()), bytearray((values / max(np.linalg.norm(values), 1e-12)).tobytes())
 
-    own = spark.createDataFrame([tuple(map(bytearray, unit(w, ITEM_WEIGHT))) for w in block.words], "terms binary, values binary")
-    texts = docs.where(place < share).select(text_or_empty().alias("text"))
-    return written(own.union(texts.mapInPandas(cut, own.schema)), "latent_rows")
+    return docs.sparkSession.createDataFrame([unit(w) for w in block.words], "terms binary, values binary")
 
 
 def products(rows: DataFrame, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,30 +172,53 @@ def products(rows: DataFrame, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def with_space(docs: DataFrame, block: Passages, seed: int = 0) -> Passages:
     """Right singular vectors of the passages, by power iterations on a random start."""
-    rows = sampled_passages(docs, block, seed)
-    size = len(block.vocabulary)
-    wide = min(size, RANK + EXTRA)
+    rows, size = passage_rows(docs, block), len(block.vocabulary)
+    rank = min(RANK, -(-len(block.words) // 2))
+    wide = min(size, len(block.words), rank + EXTRA)
     basis, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, wide)))
     for _ in range(POWER):
         back, _ = products(rows, basis)
         basis, _ = np.linalg.qr(back)
     _, inner = products(rows, basis)
     values, vectors = np.linalg.eigh(inner)
-    block.space = (basis @ vectors[:, np.argsort(-values)[:RANK]]).astype(np.float32)
+    block.space = (basis @ vectors[:, np.argsort(-values)[:rank]]).astype(np.float32)
     return block
 
 
+class Subsequence:
+    """Longest common subsequences with one passage, whose places are the bits of a number."""
+
+    def __init__(self, passage: np.ndarray):
+        self.length, self.places = len(passage), {}
+        for i, w in enumerate(passage.tolist()):
+            self.places[w] = self.places.get(w, 0) | 1 << i
+
+    def places_in(self, region: np.ndarray) -> list[int]:
+        """Where the passage has each word of the region that it has at all."""
+        places = self.places
+        return [places[w] for w in region.tolist() if w in places]
+
+    def most(self, hits: list[int]) -> int:
+        """No subsequence is longer than the places that are met at all."""
+        met = 0
+        for hit in hits:
+            met |= hit
+        return met.bit_count()
+
+    def longest(self, hits: list[int], first: int = 0) -> int:
+        """Length of the longest common subsequence with the passage from place ``first`` on."""
+        every = (1 << self.length - first) - 1
+        row = every
+        for hit in hits:
+            hit = row & (hit >> first)
+            row = ((row + hit) | (row - hit)) & every
+        return self.length - first - row.bit_count()
+
+
 def common_words(passage: np.ndarray, region: np.ndarray) -> int:
-    """Length of the longest common subsequence, with the passage as the bits of one number."""
-    masks: dict[int, int] = {}
-    for i, w in enumerate(passage.tolist()):
-        masks[w] = masks.get(w, 0) | 1 << i
-    every = (1 << len(passage)) - 1
-    row = every
-    for w in region.tolist():
-        hit = row & masks.get(w, 0)
-        row = ((row + hit) | (row - hit)) & every
-    return len(passage) - row.bit_count()
+    """Length of the longest common subsequence."""
+    whole = Subsequence(passage)
+    return whole.longest(whole.places_in(region))
 
 
 class Scanner:
@@ -222,18 +226,68 @@ class Scanner:
 
     def __init__(self, block: Passages):
         self.block, self.hashes = block, RunHashes(TERM_BYTES)
-        weight, space = block.weight.astype(np.float32), block.space
-        self.spread = weight[:, None] * space
-        self.latent = np.array([block.vector(w) @ space for w in block.words], np.float32).reshape(len(block.words), -1)
-        self.norm = np.maximum(np.linalg.norm(self.latent, axis=1), 1e-9)
+        self.passages: dict[int, Subsequence] = {}
+        self.spread = (block.weight[:, None] * block.space).astype(np.float32)
+        # Of every term of every passage: its key, and the share of the passage's weight it stands for.
+        size, keys, shares, latent = len(block.vocabulary), [], [], []
+        for i, words in enumerate(block.words):
+            terms, counts = np.unique(block.terms(words)[1], return_counts=True)
+            weights = counts * block.weight[terms] ** 2
+            keys.append(i * size + terms)
+            shares.append(weights / max(weights.sum(), 1e-12))
+            latent.append((counts @ self.spread[terms]))
+        self.keys, self.shares = np.concatenate(keys), np.concatenate(shares)
+        latent = np.array(latent, np.float32)
+        norms = np.maximum(np.linalg.norm(latent, axis=1), 1e-9)
         sizes = np.searchsorted(WINDOWS, [len(w) for w in block.words])
         self.groups = []
-        for i, size in enumerate(WINDOWS):
+        for i, window in enumerate(WINDOWS):
             members = np.flatnonzero(sizes == i)
             if len(members):
-                # What one occurrence of a term adds to the covered share of each passage.
-                gain = self.spread @ (self.latent[members] / self.norm[members, None] ** 2).T
-                self.groups.append((size, members, np.ascontiguousarray(gain, np.float32)))
+                self.groups.append((window, members, np.ascontiguousarray((latent[members] / norms[members, None]).T), norms[members]))
+
+    def _windows(self, where: np.ndarray, index: np.ndarray, step: int) -> np.ndarray:
+        """Latent vectors of the windows of three steps from each multiple of ``step``."""
+        place = where // step
+        sums = np.zeros((int(place[-1]) + 3, self.spread.shape[1]), np.float32)
+        for at in range(0, len(place), CHUNK):
+            some = place[at : at + CHUNK]
+            first = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]]))
+            sums[some[first]] += np.add.reduceat(self.spread[index[at : at + CHUNK]], first, axis=0)
+        return sums[:-2] + sums[1:-1] + sums[2:]
+
+    def _shared(self, index: np.ndarray, low: np.ndarray, high: np.ndarray, passages: np.ndarray) -> np.ndarray:
+        """Share of the weight of each passage that the terms from ``low`` to ``high`` have, each term once per occurrence."""
+        counts = high - low
+        ends = np.cumsum(counts)
+        at = np.arange(int(ends[-1])) + np.repeat(low - ends + counts, counts)
+        wanted = np.repeat(passages, counts) * len(self.block.vocabulary) + index[at]
+        place = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        share = np.where(self.keys[place] == wanted, self.shares[place], 0.0)
+        return np.add.reduceat(share, ends - counts)
+
+    def _candidates(self, where: np.ndarray, index: np.ndarray, group: tuple) -> Iterator[tuple[int, int, int]]:
+        """(first and last known word, passage) of windows whose words are to be compared."""
+        size, members, units, norms = group
+        step = size // 3
+        latent = self._windows(where, index, step)
+        lengths = np.linalg.norm(latent, axis=1)
+        # Rounding makes a length that is not quite zero of nothing.
+        filled = np.flatnonzero(lengths >= COVER * norms.min() - 1e-6)
+        for at in range(0, len(filled), TILE):
+            some = filled[at : at + TILE]
+            along = latent[some] @ units
+            near = (along >= COSINE * lengths[some, None] - 1e-6) & (along >= COVER * norms - 1e-6)
+            window, column = np.nonzero(near)
+            if not len(window):
+                continue
+            starts = some[window] * step
+            low, high = np.searchsorted(where, starts), np.searchsorted(where, starts + size)
+            there = np.flatnonzero(high > low)
+            low, high, passages = low[there], high[there], members[column[there]]
+            if len(low):
+                for i in np.flatnonzero(self._shared(index, low, high, passages) >= SHARED):
+                    yield int(low[i]), int(high[i]), int(passages[i])
 
     def __call__(self, texts: list[str]) -> list[tuple[int, int, float, float, float]]:
         """(row, passage, cosine, common share, answer share) of what is found, the best per row and passage."""
@@ -241,38 +295,32 @@ class Scanner:
         known, index = self.block.terms(words.hashes)
         where = words.position[known]
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
-        for size, members, gain in self.groups:
-            step = size // 3
-            last = int(words.position[-1]) if len(words.position) else -1
-            for at in range(0, last + 1, CHUNK - CHUNK % step):
-                starts = np.arange(at, min(at + CHUNK - CHUNK % step, last + 1), step)
-                low, high = np.searchsorted(where, starts), np.searchsorted(where, starts + size)
-                filled = np.flatnonzero(high > low)
-                if not len(filled):
-                    continue
-                low, high = low[filled], high[filled]
-                base = low[0]
-                sums = np.zeros((high[-1] - base + 1, len(members)), np.float32)
-                np.cumsum(gain[index[base : high[-1]]], axis=0, out=sums[1:])
-                for window, column in np.argwhere(sums[high - base] - sums[low - base] >= COVER):
-                    self._verify(words, index, known, low[window], high[window], size, members[column], best)
+        if len(known):
+            for group in self.groups:
+                for low, high, passage in self._candidates(where, index, group):
+                    self._verify(words, index, known, low, high, group[0], passage, best)
         return [(row, passage, *found) for (row, passage), found in best.items()]
 
     def _verify(self, words: Words, index, known, low: int, high: int, size: int, passage: int, best: dict) -> None:
-        latent = self.spread[index[low:high]].sum(axis=0)
-        cosine = float(latent @ self.latent[passage] / max(np.linalg.norm(latent) * self.norm[passage], 1e-9))
         row = int(words.row[known[low]])
         if best.get((row, passage), (0, 0.0))[1] == 1.0:
             return
         target = self.block.words[passage]
         start = max(words.first[row], known[low] - size - len(target))
         end = min(words.first[row + 1], known[high - 1] + 1 + size + len(target))
-        region = words.hashes[start:end]
-        common = common_words(target, region) / len(target)
-        tail = target[-max(1, len(target) // 4) :]
-        answer = common_words(tail, region) / len(tail)
+        if passage not in self.passages:
+            self.passages[passage] = Subsequence(target)
+        whole, last = self.passages[passage], max(1, len(target) // 4)
+        hits = whole.places_in(words.hashes[start:end])
+        if whole.most(hits) < PARAPHRASE * len(target):
+            return
+        common = whole.longest(hits) / len(target)
+        answer = whole.longest(hits, len(target) - last) / last
         found = common == 1.0 if len(target) < SHORT else common >= VERBATIM or (common >= PARAPHRASE and answer >= ANSWER)
         if found and common > best.get((row, passage), (0, 0.0))[1]:
+            latent = self.spread[index[low:high]].sum(axis=0)
+            own = self.spread[self.block.terms(target)[1]].sum(axis=0)
+            cosine = float(latent @ own / max(np.linalg.norm(latent) * np.linalg.norm(own), 1e-9))
             best[row, passage] = (cosine, common, answer)
 
 

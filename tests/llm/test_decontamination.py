@@ -25,6 +25,9 @@ def test_common_words():
     for _ in range(300):
         a, b = ([rng.randint(1, 6) for _ in range(rng.randint(1, 40))] for _ in range(2))
         assert dc.common_words(np.array(a, np.uint64), np.array(b, np.uint64)) == table_lcs(a, b)
+        whole, first = dc.Subsequence(np.array(a, np.uint64)), rng.randrange(len(a))
+        hits = whole.places_in(np.array(b, np.uint64))
+        assert whole.longest(hits, first) == table_lcs(a[first:], b) and whole.most(hits) >= whole.longest(hits)
 
 
 def test_space_spans_the_leading_directions(spark):
@@ -108,6 +111,36 @@ def test_awkward_rows(spark, make_docs):
     assert dc.leaks(docs, benchmark.where("false")).collect() == []
 
 
+def test_recall_of_paraphrases(spark, make_docs):
+    """Paraphrases that the check accepts are found, of the benchmark and in the texts of the test data."""
+    folder, rng = "/root/testdata/sf0.1", random.Random(8)
+    texts = [WORD.findall((r.text or "").lower()) for r in spark.read.parquet(f"{folder}/documents.parquet").limit(900).collect()]
+    items = {r.item_id: WORD.findall(r.text.lower()) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()}
+    every = [w for t in texts for w in t]
+    texts = [t for t in texts if len(t) > 120]
+    hashes = dc.RunHashes(dc.TERM_BYTES)
+    numbers = lambda words: hashes(dc.bytes_of(" ".join(words)))
+    docs, planted = [], {}
+    for replaced, inserted in ((0.3, 0), (0.4, 0), (0.45, 0), (0.3, 2), (0.3, 1), (0.45, 1)):
+        for item, words in items.items():
+            copy = list(words)
+            for i in rng.sample(range(3 * len(copy) // 4), min(3 * len(copy) // 4, int(replaced * len(copy)))):
+                copy[i] = rng.choice(every)
+            if inserted:
+                copy = [x for i, w in enumerate(copy) for x in ([w, rng.choice(every)] if i % inserted == 0 else [w])]
+            common, tail = (dc.common_words(t, numbers(copy)) / len(t) for t in (numbers(words), numbers(words)[-max(1, len(words) // 4) :]))
+            if common >= dc.VERBATIM or (common >= dc.PARAPHRASE and tail >= dc.ANSWER):
+                text = rng.choice(texts)
+                at = rng.randrange(len(text))
+                planted[len(docs)] = ((replaced, inserted), item)
+                docs.append((len(docs), " ".join(text[:at] + copy + text[at:])))
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = {(r.doc_id, r.item_id) for r in dc.leaks(make_docs(docs).repartition(8), benchmark).collect()}
+    for kind in {k for k, _ in planted.values()}:
+        hits = [(d, i) in found for d, (k, i) in planted.items() if k == kind]
+        assert sum(hits) >= 0.97 * len(hits), (kind, sum(hits), len(hits))
+
+
 def test_query_finds_every_whole_item(spark):
     from civicpanel.llm.queries import op6_decontamination
 
