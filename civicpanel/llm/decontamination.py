@@ -38,14 +38,14 @@ from civicpanel.llm.common import RunHashes, bytes_of, small_batches, text_or_em
 from civicpanel.llm.fingerprints import TERM_BYTES
 
 LONGEST = 96
-#: Window sizes; a passage is searched with the smallest that holds it. Windows advance by a third.
+#: Window sizes, each twice the one before; a passage is searched with the smallest that holds it. Windows advance by a third.
 WINDOWS = (24, 48, LONGEST)
 #: Passages of one search.
 BLOCK = 1 << 14
-RANK, EXTRA, POWER = 96, 32, 2
+RANK, EXTRA, POWER = 64, 32, 2
 #: Weight of a term that is in every document.
 LEAST = 0.05
-COSINE, COVER, SHARED = 0.45, 0.22, 0.12
+COSINE, COVER, SHARED = 0.45, 0.25, 0.15
 VERBATIM, PARAPHRASE, ANSWER = 0.7, 0.5, 0.8
 SHORT = 8
 #: Occurrences of terms that are added up at once, and windows that are compared at once.
@@ -240,21 +240,25 @@ class Scanner:
         latent = np.array(latent, np.float32)
         norms = np.maximum(np.linalg.norm(latent, axis=1), 1e-9)
         sizes = np.searchsorted(WINDOWS, [len(w) for w in block.words])
-        self.groups = []
+        self.groups = {}
         for i, window in enumerate(WINDOWS):
             members = np.flatnonzero(sizes == i)
             if len(members):
-                self.groups.append((window, members, np.ascontiguousarray((latent[members] / norms[members, None]).T), norms[members]))
-
-    def _windows(self, where: np.ndarray, index: np.ndarray, step: int) -> np.ndarray:
-        """Latent vectors of the windows of three steps from each multiple of ``step``."""
-        place = where // step
-        sums = np.zeros((int(place[-1]) + 3, self.spread.shape[1]), np.float32)
+                units = np.ascontiguousarray((latent[members] / norms[members, None]).T)
+                self.groups[window] = (window, members, units, norms[members])
+
+    def _steps(self, where: np.ndarray, index: np.ndarray) -> Iterator[np.ndarray]:
+        """Latent sums of the stretches of one step, for the steps of all windows; each step is twice the one before."""
+        place = where // (WINDOWS[0] // 3)
+        unit = 1 << len(WINDOWS)
+        sums = np.zeros((-(-(int(place[-1]) + 1) // unit) * unit + 2 * unit, self.spread.shape[1]), np.float32)
         for at in range(0, len(place), CHUNK):
             some = place[at : at + CHUNK]
             first = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]]))
             sums[some[first]] += np.add.reduceat(self.spread[index[at : at + CHUNK]], first, axis=0)
-        return sums[:-2] + sums[1:-1] + sums[2:]
+        for _ in WINDOWS:
+            yield sums
+            sums = sums[::2] + sums[1::2]
 
     def _shared(self, index: np.ndarray, low: np.ndarray, high: np.ndarray, passages: np.ndarray) -> np.ndarray:
         """Share of the weight of each passage that the terms from ``low`` to ``high`` have, each term once per occurrence."""
@@ -266,11 +270,11 @@ class Scanner:
         share = np.where(self.keys[place] == wanted, self.shares[place], 0.0)
         return np.add.reduceat(share, ends - counts)
 
-    def _candidates(self, where: np.ndarray, index: np.ndarray, group: tuple) -> Iterator[tuple[int, int, int]]:
+    def _candidates(self, where: np.ndarray, index: np.ndarray, sums: np.ndarray, group: tuple) -> Iterator[tuple[int, int, int]]:
         """(first and last known word, passage) of windows whose words are to be compared."""
         size, members, units, norms = group
         step = size // 3
-        latent = self._windows(where, index, step)
+        latent = sums[:-2] + sums[1:-1] + sums[2:]
         lengths = np.linalg.norm(latent, axis=1)
         # Rounding makes a length that is not quite zero of nothing.
         filled = np.flatnonzero(lengths >= COVER * norms.min() - 1e-6)
@@ -296,9 +300,10 @@ class Scanner:
         where = words.position[known]
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
         if len(known):
-            for group in self.groups:
-                for low, high, passage in self._candidates(where, index, group):
-                    self._verify(words, index, known, low, high, group[0], passage, best)
+            for window, sums in zip(WINDOWS, self._steps(where, index)):
+                if window in self.groups:
+                    for low, high, passage in self._candidates(where, index, sums, self.groups[window]):
+                        self._verify(words, index, known, low, high, window, passage, best)
         return [(row, passage, *found) for (row, passage), found in best.items()]
 
     def _verify(self, words: Words, index, known, low: int, high: int, size: int, passage: int, best: dict) -> None:
@@ -309,9 +314,10 @@ class Scanner:
         start = max(words.first[row], known[low] - size - len(target))
         end = min(words.first[row + 1], known[high - 1] + 1 + size + len(target))
         if passage not in self.passages:
-            self.passages[passage] = Subsequence(target)
+            self.passages[passage] = Subsequence(self.block.terms(target)[1])
         whole, last = self.passages[passage], max(1, len(target) // 4)
-        hits = whole.places_in(words.hashes[start:end])
+        # Every word of the passage is a term, so the terms of the region are all that can be common.
+        hits = whole.places_in(index[np.searchsorted(known, start) : np.searchsorted(known, end)])
         if whole.most(hits) < PARAPHRASE * len(target):
             return
         common = whole.longest(hits) / len(target)

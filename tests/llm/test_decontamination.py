@@ -138,7 +138,7 @@ def test_recall_of_paraphrases(spark, make_docs):
     found = {(r.doc_id, r.item_id) for r in dc.leaks(make_docs(docs).repartition(8), benchmark).collect()}
     for kind in {k for k, _ in planted.values()}:
         hits = [(d, i) in found for d, (k, i) in planted.items() if k == kind]
-        assert sum(hits) >= 0.97 * len(hits), (kind, sum(hits), len(hits))
+        assert sum(hits) >= 0.95 * len(hits), (kind, sum(hits), len(hits))
 
 
 def test_query_finds_every_whole_item(spark):
