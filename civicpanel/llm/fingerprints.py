@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicpanel.llm.common import RunHashes, bytes_of, mix64, small_batches, text_or_empty
@@ -34,6 +34,8 @@ IDF_BAND = (2.0, 9.0)
 #: Lexicon subsets: so many draws, each in sizes of 1/2 to 1/2**SIZES of the lexicon.
 DRAWS, SIZES = 4, 8
 EMPTY = "0" * 8
+#: Text in one range of documents, about.
+RANGE_BYTES = 128 << 20
 #: Level of a draw: trailing zero bits, of as many as there are sizes. Where each level ends in a sorted draw.
 LEVELS = np.array([SIZES if not x else (x & -x).bit_length() - 1 for x in range(2**SIZES)], np.uint64)
 ENDS = np.arange(1, SIZES + 1, dtype=np.uint64) << np.uint64(32)
@@ -131,28 +133,61 @@ def fingerprints(docs: DataFrame, idf_band: tuple[float, float] = IDF_BAND) -> D
     return narrow.mapInPandas(compute, "doc_id long, fingerprint string")
 
 
+def cuts_of(keyed: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of about ``n`` ranges of (key, hash): quantiles of the keys, a key of several of them cut by hash."""
+    found = keyed.approxQuantile("key", [i / n for i in range(1, n)], 0.2 / n)
+    keys, times = np.unique(np.array(found, np.float64).clip(-(2.0**63), 2.0**63 - 1025).astype(np.int64), return_counts=True)
+    # Hashes are spread evenly over 64 bits. A key of one quantile is cut before its first hash.
+    hashes = [-(2**63) + (2**64 * j) // (t + 1) if t > 1 else -(2**63) for t in times.tolist() for j in range(1, t + 1)]
+    return np.repeat(keys, times), np.array(hashes, np.int64)
+
+
+def range_numbers(cuts: tuple[np.ndarray, np.ndarray], keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """How many cuts are not above each (key, hash)."""
+    low, high = np.searchsorted(cuts[0], keys, side="left"), np.searchsorted(cuts[0], keys, side="right")
+    found = low.copy()
+    for at in np.unique(low[high > low]):
+        rows = np.flatnonzero((low == at) & (high > low))
+        found[rows] += np.searchsorted(cuts[1][at : high[rows[0]]], hashes[rows], side="right")
+    return found
+
+
+def own_partitions(spark: SparkSession, n: int) -> list[int]:
+    """For each of ``n`` numbers an integer whose hash sends it to the partition of that number."""
+    want, found, at = set(range(n)), {}, 0
+    while want:
+        rows = spark.range(at, at + 16 * n).select("id", F.pmod(F.hash(F.col("id").cast("int")), F.lit(n)).alias("p"))
+        for r in rows.groupBy("p").agg(F.min("id").alias("id")).collect():
+            if r["p"] in want:
+                found[r["p"]] = r["id"]
+                want.discard(r["p"])
+        at += 16 * n
+    return [found[p] for p in range(n)]
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """Texts in ranges of descending document id, each range followed by the first row of the next.
+    """Texts in ranges of descending (document id, hash of the text), each followed by the first row of the next.
 
-    Rows are sorted within their partition by (range, tail, id, hash), descending ids. Only
-    the bounds of the ranges, one pair of numbers each, pass through the driver. Rows with the
-    same id are ordered by the hash of their text, NULL ids come last.
+    Ranges hold about ``RANGE_BYTES`` of text and have a partition each; an id of many rows,
+    such as none, is cut by the hash. Rows are sorted within their partition by (range, tail,
+    id, hash), descending. Only the bounds of the ranges, two pairs of numbers each, pass
+    through the driver. NULL ids come last. Rows alike in id and text stay together.
     """
     spark = docs.sparkSession
-    n = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("key"),
         text_or_empty().alias("text"),
     ).withColumn("hash", F.xxhash64("text"))
-    quantiles = [i / n for i in range(1, n)]
-    cuts = np.unique(np.array(keyed.where("doc_id IS NOT NULL").approxQuantile("doc_id", quantiles, 0.2 / n), np.int64))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(3 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+    cuts, partitions = cuts_of(keyed, n), own_partitions(spark, n)
 
     @F.pandas_udf("int")
-    def range_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, key.to_numpy(np.int64), side="right"))
+    def range_of(key: pd.Series, hashed: pd.Series) -> pd.Series:
+        return pd.Series(range_numbers(cuts, key.to_numpy(np.int64), hashed.to_numpy(np.int64)))
 
-    ranged = keyed.withColumn("range", range_of("key"))
+    ranged = keyed.withColumn("range", range_of("key", "hash"))
     heads = ranged.groupBy("range").agg(F.max(F.struct("key", "hash")).alias("head")).collect()
     heads = sorted((r["range"], *r["head"]) for r in heads)
     # The first row of a range is also the tail of the range above it; that of the highest one, of the lowest.
@@ -171,7 +206,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     return (
         ranged.withColumn("place", F.explode(places("range", "key", "hash")))
         .select("doc_id", "key", "hash", "text", "place.range", "place.tail")
-        .repartition(n, "range")
+        .repartition(n, F.element_at(F.lit(partitions), F.col("range") + 1).cast("int"))
         .sortWithinPartitions("range", "tail", F.desc("key"), F.desc("hash"))
     )
 

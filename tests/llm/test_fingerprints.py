@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from civicpanel.llm import fingerprints as fp
 
@@ -63,6 +64,30 @@ def test_null_and_repeated_ids(make_docs):
     assert len({r.fingerprint for r in found}) == 4
 
 
+def test_many_rows_without_id_are_spread(spark, make_docs):
+    """A third of the rows without id: no task has far more rows than the median, every row has its next one."""
+    rows = [(i if i % 3 else None, f"text {i}") for i in range(9_000)] + [(5, f"again {i}") for i in range(900)]
+    placed = fp.with_next(make_docs(rows).repartition(8))
+    counts = sorted(r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect())
+    assert len(counts) >= 20 and counts[-1] <= 2 * counts[len(counts) // 2]
+    found = placed.where("tail = 0").select("key", "hash").collect()
+    assert len(found) == len(rows)
+    next_of = {}
+    for part in placed.select("range", "tail", "key", "hash", "text").collect():
+        next_of.setdefault(part.range, []).append((part.tail, -part.key, -part.hash, part.text))
+    order = sorted(((-r.key, -r.hash) for r in found))
+    starts = [min(v)[1:3] for _, v in sorted(next_of.items(), reverse=True)]
+    assert starts == sorted(starts) and starts[0] == order[0]
+    assert all(max(v)[0] == 1 for v in next_of.values())
+
+
+def test_cuts_of_hot_keys():
+    keys, hashes = np.array([-(2**63), -(2**63), 4, 9]), np.array([-(2**62), 2**62, -(2**63), -(2**63)])
+    rows = [(-(2**63), -(2**63), 0), (-(2**63), 0, 1), (-(2**63), 2**63 - 1, 2), (3, 5, 2), (4, -(2**63), 3), (8, 1, 3), (9, 0, 4), (10, -5, 4)]
+    k, h, expected = (np.array(x) for x in zip(*rows))
+    assert fp.range_numbers((keys, hashes), k, h).tolist() == expected.tolist()
+
+
 @pytest.mark.parametrize("rows", [[], [(1, "only one")]])
 def test_tiny_tables(make_docs, rows):
     found = fp.edited_fingerprints(make_docs(rows)).collect()
