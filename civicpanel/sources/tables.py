@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
@@ -149,6 +149,16 @@ def jdbc_options(url: str, table: str, properties: Mapping[str, str] | None = No
     return {**(properties or {}), "url": url, "dbtable": table, "batchsize": "5000"}
 
 
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, folder: str) -> DataFrame:
+    """Store a table in buckets of its keys, sorted by them, and read it back.
+
+    Two tables with as many buckets are joined on their keys without a shuffle. NULL keys
+    have a bucket like others and match nothing.
+    """
+    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", folder).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def indicator_slice(fact: DataFrame, indicator: str) -> DataFrame:
     """One indicator of the fact table; prunes partitions of the stored table.
 

@@ -7,9 +7,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from civicpanel.operators import codes, distinct, history, intervals, rollup
+from civicpanel.operators import codes, distinct, history, intervals, keyword_index, rollup
 from civicpanel.plans import star
-from civicpanel.sources import published, rejects, scratch
+from civicpanel.sources import published, rejects, scratch, variants
 from civicpanel.sources.frames import indicator_dim, state_dim
 from workload import inputs as src
 from workload import upkeep
@@ -303,3 +303,42 @@ def test_stored_tables_are_cleared(spark, data):
     with pytest.raises(Exception):
         spark.read.parquet(folder)
     assert src.states(spark, data).count() == 25
+
+
+# --- JSON, search, buckets
+
+
+def test_variant_leaves(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"a":{"b":[1,{"c":null}]},"d":"x"}\nnot json\n[true]\n7\n{}\n')
+    records = variants.read_records(spark, str(tmp_path / "r.json"))
+    assert records.where("registro IS NULL").count() == 1
+    assert rows(variants.leaves(records, "registro")) == [
+        ("$", "7"), ("$.a.b[0]", "1"), ("$.a.b[1].c", None), ("$.d", "x"), ("$[0]", "true"),
+    ]
+    assert rows(variants.leaves(records, "registro", depth=1).where("caminho = '$.a'")) == [("$.a", '{"b":[1,{"c":null}]}')]
+    assert rows(variants.entries(records, "registro"), "pos", "chave") == [(0, "a"), (0, None), (1, "d")]
+
+
+def test_indexed_search_equals_a_scan(spark, tmp_path):
+    rng = random.Random(5)
+    texts = [(i, rng.choice([None, "", "ab", "".join(rng.choices("abcDE ", k=rng.randint(3, 40)))])) for i in range(400)] + [(900, "Ação\nlonga"), (None, "abcabc")]
+    df = spark.createDataFrame(texts, "id INT, t STRING")
+    index = keyword_index.build(df, "id", "t", buckets=8, folder=str(tmp_path / "index"))
+    for words in (["abc"], ["ABCD", "ção"], ["dede", "nowhere"], ["ab"], ["x" * 50], [], [""]):
+        wanted = [w.lower() for w in words if w]
+        expected = sorted(i for i, t in texts if i is not None and t and any(w in t.lower() for w in wanted))
+        assert sorted(r.id for r in index.search(spark, words).collect()) == expected
+    shown = plan(index.search(spark, ["abcd"]))
+    assert "PartitionFilters: [_balde" in shown.replace("isnotnull(_balde", "_balde")
+
+
+def test_bucketed_join_has_no_exchange(spark, data):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spent, balances = upkeep.bucketed_sides(spark, data, 1)
+        joined = spent.join(balances, ["ano", "sigla_uf"])
+        assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
+        assert joined.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

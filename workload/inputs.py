@@ -36,6 +36,8 @@ SCHEMAS = {
     "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
     "l_shipdate TIMESTAMP_NTZ",
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "benchmark": "item_id BIGINT, text STRING",
     "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
 }
 

@@ -1,13 +1,17 @@
-"""Tables that are kept up to date and audited: distinct counts, replacement, refresh, histories, codes, days, bad lines."""
+"""Tables that are kept up to date and audited: distinct counts, replacement, refresh, histories, codes, days, bad lines,
+JSON of unknown shape, search by posting lists, joins of bucketed tables."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from civicpanel.operators import codes, distinct, history, intervals, rollup
+from civicpanel.operators import codes, distinct, history, intervals, keyword_index, rollup
 from civicpanel.plans import star
-from civicpanel.sources import frames, published, rejects
+from civicpanel.sources import frames, published, rejects, variants
 from civicpanel.sources.scratch import new_folder, stored
+from civicpanel.sources.tables import write_bucketed
 from workload import inputs as src
 from workload.domain import CATALOGUE, ORDER_CTES, ORDER_FACT, order_fact, order_tables
 from workload.inputs import GRAIN, PLACES, STATES, with_ctes
@@ -292,3 +296,89 @@ def csv_good_rows(spark, d):
 )
 def csv_rejected_lines(spark, d):
     return customer_lines(spark, d).rejects.select("linha")
+
+
+# --- JSON of unknown shape -----------------------------------------------------------------
+
+
+@query(
+    "event_properties",
+    """SELECT event_type, k AS chave, count(*) AS linhas, sum(json_extract(props, '$.' || k)::DOUBLE) AS soma
+       FROM events, unnest(json_keys(props)) t(k) GROUP BY ALL""",
+)
+def event_properties(spark, d):
+    """Every key of the events' properties, none of them named here."""
+    events = variants.parsed(src.table(spark, d, "events"), "props", "v")
+    found = variants.entries(events, "v", ["event_type"])
+    return found.groupBy("event_type", "chave").agg(
+        F.count(F.lit(1)).alias("linhas"), F.sum(F.try_variant_get("valor", "$", "double")).alias("soma")
+    )
+
+
+@query(
+    "metadata_leaves",
+    """SELECT p_partkey, unnest([
+         {'caminho': '$.id', 'valor': 't'}, {'caminho': '$.variaveis[0].id', 'valor': 'a'},
+         {'caminho': '$.variaveis[0].nome', 'valor': p_name}, {'caminho': '$.variaveis[0].tamanho', 'valor': p_size::VARCHAR},
+         {'caminho': '$.variaveis[1].id', 'valor': 'b'}, {'caminho': '$.variaveis[1].notas[0][0]', 'valor': p_brand},
+         {'caminho': '$.variaveis[1].notas[0][1]', 'valor': 'true'}], recursive := true) FROM part""",
+)
+def metadata_leaves(spark, d):
+    """Paths and values of nested records, as lines of text."""
+    part = src.table(spark, d, "part")
+    first = F.struct(F.lit("a").alias("id"), F.col("p_name").alias("nome"), F.col("p_size").alias("tamanho"))
+    both = F.concat(
+        F.lit('{"id":"t","variaveis":['), F.to_json(first), F.lit(',{"id":"b","notas":[["'), F.col("p_brand"), F.lit('",true]]}]}')
+    )
+    records = variants.parsed(part.select("p_partkey", both.alias("json")), "json", "v")
+    return variants.leaves(records, "v", ["p_partkey"])
+
+
+# --- search by posting lists -----------------------------------------------------------------
+
+WORDS = """SELECT w FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM benchmark)
+  WHERE length(w) >= 6 GROUP BY w ORDER BY count(*) DESC, w LIMIT 3"""
+
+
+@query(
+    "indexed_search",
+    f"""SELECT doc_id, length(text) AS letras FROM documents
+        WHERE EXISTS (SELECT 1 FROM ({WORDS}) WHERE contains(lower(text), w))""",
+)
+def indexed_search(spark, d):
+    """Documents with one of the three most frequent longer words of the benchmark, by an index of all documents."""
+    words = src.table(spark, d, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("w"))
+    frequent = words.where(F.length("w") >= 6).groupBy("w").count().orderBy(F.desc("count"), "w").limit(3)
+    index = keyword_index.build(src.table(spark, d, "documents"), "doc_id", "text")
+    return index.search(spark, [r.w for r in frequent.collect()]).select("doc_id", F.length("text").cast("bigint").alias("letras"))
+
+
+# --- bucketed tables ---------------------------------------------------------------------------
+
+BUCKETS = 8
+
+
+def bucketed_sides(spark, d, lag):
+    """Spending by the year it is shown at and mean balances by year, in the same buckets."""
+    spent = src.purchases(spark, d).withColumn("ano", F.col("ano") + lag)
+    balances = src.placed(spark, d).groupBy("ano", "sigla_uf").agg(F.avg("saldo").alias("saldo"))
+    name = uuid.uuid4().hex
+    return [
+        write_bucketed(df, f"{side}_{name}", ["sigla_uf", "ano"], BUCKETS, new_folder(spark, side))
+        for side, df in (("gasto", spent), ("saldo", balances))
+    ]
+
+
+@query(
+    "bucketed_lag_join",
+    with_ctes(
+        "purchases",
+        select="""SELECT b.ano, b.sigla_uf, dimensao, valor, saldo FROM purchases p
+          JOIN (SELECT ano, sigla_uf, avg(saldo) AS saldo FROM placed GROUP BY ALL) b
+          ON p.sigla_uf = b.sigla_uf AND p.ano + 1 = b.ano""",
+    ),
+)
+def bucketed_lag_join(spark, d):
+    """The lag join over stored tables that are bucketed by its keys."""
+    spent, balances = bucketed_sides(spark, d, 1)
+    return spent.join(balances, ["ano", "sigla_uf"]).select("ano", "sigla_uf", "dimensao", "valor", "saldo")
