@@ -12,9 +12,11 @@ that a copied text with a wrong label does not teach its words. Vocabulary and c
 are bounded by ``vocabulary`` and ``telling``. Scoring runs over all rows and whole texts, as
 Spark ML expressions without a shuffle.
 
-NULL and empty texts have no words and get the probability of a text without any. Rows with
-a NULL label are not used in training; without labelled rows every probability is 0. Every
-row gets a row, repeated ids too.
+NULL and empty texts have no words and get the probability of a text without any. A row teaches
+the categories that it has a label for; a category without any label has the probability 0,
+and so have all if no term is in ``LEAST_TEXTS`` texts.
+Labels of one id are taken together: it is in a category if one of them says so. Labels
+without an id are not used. Every row of the documents gets a row, repeated ids too.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from civicpanel.llm.common import text_or_empty, written
 
 SAMPLE = 12_000
 VOCABULARY = 1 << 16
-#: A term must occur in so many texts of the sample.
-LEAST_TEXTS = 10
+#: A term must occur in so many texts of the sample, whatever its size.
+LEAST_TEXTS = 6
 #: Letters of the beginning of a longer word, which counts as a term of its own.
 STEM = 4
 #: Terms that a model may use.
@@ -60,9 +62,10 @@ def terms(found: Column) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], sample: int, seed: int) -> DataFrame:
     """Words of about ``sample`` labelled documents, one of each group of copies, with a 0/1 column per category."""
-    keys = labels.select(
-        F.col("doc_id").cast("long").alias("_doc"), *[c.cast("double").alias(f"_y_{name}") for name, c in categories.items()]
-    ).dropna()
+    known = [c.cast("double").alias(f"_y_{name}") for name, c in categories.items()]
+    each = labels.select(F.col("doc_id").cast("long").alias("_doc"), *known).where(F.col("_doc").isNotNull())
+    keys = each.groupBy("_doc").agg(*[F.max(f"_y_{name}").alias(f"_y_{name}") for name in categories])
+    keys = keys.dropna(how="all", subset=[f"_y_{name}" for name in categories])
     share = min(1.0, sample / max(1, keys.count()))
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "_doc"), 11) * F.lit(2.0**-53)
     chosen = F.broadcast(keys.where(place < share))  # bounded by ``sample``
@@ -79,7 +82,7 @@ class Chain:
     """A vocabulary and one linear model per category, in order."""
 
     vocabulary: CountVectorizerModel | None
-    models: list[tuple[str, PipelineModel]]
+    models: list[tuple[str, PipelineModel | None]]
     categories: list[str]
 
     def probabilities(self, rows: DataFrame, text: Column) -> DataFrame:
@@ -92,7 +95,9 @@ class Chain:
         return scored.drop("_words", "_counts")
 
 
-def _scored(model: PipelineModel, rows: DataFrame, category: str) -> DataFrame:
+def _scored(model: PipelineModel | None, rows: DataFrame, category: str) -> DataFrame:
+    if model is None:
+        return rows.withColumn(f"_p_{category}", F.lit(0.0))
     found = model.transform(rows).withColumn(f"_p_{category}", vector_to_array("_probability")[1])
     return found.drop("_telling", "_features", "_probability", "_raw", "_prediction")
 
@@ -111,6 +116,12 @@ def _learner(category: str, earlier: list[str], telling: int, penalty: float) ->
     return Pipeline(stages=[chosen, joined, model])
 
 
+def _fitted(learner: Pipeline, rows: DataFrame, category: str) -> PipelineModel | None:
+    """A model of the rows that have a label of the category; None without any."""
+    labelled = rows.where(F.col(f"_y_{category}").isNotNull())
+    return learner.fit(labelled) if labelled.limit(1).count() else None
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -124,24 +135,23 @@ def train(
 ) -> Chain:
     """Fit the chain on documents with labels; ``categories`` are conditions on ``labels``, in order."""
     rows = written(labelled_sample(docs, labels, categories, sample, seed).coalesce(PARTITIONS), "toxicity_sample")
-    least = LEAST_TEXTS if rows.count() > 50 * LEAST_TEXTS else 1
-    if not rows.where(F.size("_words") > 0).limit(1).count():
+    found = rows.select(F.explode("_words").alias("_word")).groupBy("_word").count()
+    if not found.where(F.col("count") >= LEAST_TEXTS).limit(1).count():
         return Chain(None, [], list(categories))
-    counted = CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=vocabulary, minDF=least, binary=True).fit(rows)
+    counted = CountVectorizer(inputCol="_words", outputCol="_counts", vocabSize=vocabulary, minDF=LEAST_TEXTS, binary=True).fit(rows)
     fold = F.pmod(F.xxhash64(F.lit(seed + 1), "_key"), F.lit(folds)).cast("int")
     known = counted.transform(rows.coalesce(PARTITIONS)).drop("_words").withColumn("_fold", fold).cache()
     models, earlier = [], []
     for at, category in enumerate(categories):
         learner = _learner(category, earlier, telling, penalty)
-        whole = learner.fit(known)
+        whole = _fitted(learner, known, category)
         models.append((category, whole))
         if at + 1 == len(categories):
             break
         # What the next model learns from: each fold scored by a model of the other folds.
         held = None
         for k in range(folds):
-            rest = known.where(F.col("_fold") != k)
-            model = learner.fit(rest) if rest.limit(1).count() else whole
+            model = _fitted(learner, known.where(F.col("_fold") != k), category) or whole
             part = _scored(model, known.where(F.col("_fold") == k), category)
             held = part if held is None else held.unionByName(part)
         old, known = known, written(held, "toxicity_folds").coalesce(PARTITIONS).cache()

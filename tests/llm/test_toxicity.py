@@ -51,6 +51,48 @@ def test_without_labels(spark, make_docs):
     assert [r.toxic for r in toxicity.score(make_docs([(1, "a")]), one).collect()] == [False]
 
 
+def scores(spark, labels, texts, n):
+    docs = spark.createDataFrame([(i, f"word{i % 7} plain text " + ("insult again" if i % 5 == 0 else "fine")) for i in range(n)], "doc_id long, text string")
+    chain = toxicity.train(docs, spark.createDataFrame(labels, LABELS), toxicity.label_categories())
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [(r.p_low_quality, r.p_toxic) for r in toxicity.score(rows, chain).orderBy("doc_id").collect()]
+
+
+def test_sizes_behave_alike(spark):
+    """The same kinds of texts get the same verdicts from 400 and from 4,000 rows."""
+    texts = ["an insult", "word0 plain text fine", "word3 fine", ""]
+    found = [scores(spark, [(i, int(i % 7 > 0), int(i % 5 == 0)) for i in range(n)], texts, n) for n in (400, 4_000)]
+    assert [[t >= 0.5 for _, t in f] for f in found] == [[True, False, False, False]] * 2
+
+
+def test_partial_and_repeated_labels(spark):
+    """A row without one label teaches the other category; labels of one id count once, any yes wins."""
+    whole = [(i, int(i % 7 > 0), int(i % 5 == 0)) for i in range(400)]
+    split = [(i, q, None) for i, q, _ in whole] + [(i, None, t) for i, _, t in whole] + [(i, q, 0) for i, q, _ in whole[:50]] * 3 + [(None, 0, 1)] * 9
+    texts = ["an insult", "word0 plain text fine", "fine"]
+    found, expected = scores(spark, split, texts, 400), scores(spark, whole, texts, 400)
+    assert [p for row in found for p in row] == pytest.approx([p for row in expected for p in row])
+    toxic_only = scores(spark, [(i, None, t) for i, _, t in whole], texts, 400)
+    assert [p for p, _ in toxic_only] == [0.0] * 3 and [t >= 0.5 for _, t in toxic_only] == [True, False, False]
+
+
+def test_folds_do_not_see_their_rows(spark, monkeypatch):
+    """The second model learns from probabilities of models that were fitted without the row's fold."""
+    seen, fit = [], toxicity._fitted
+    monkeypatch.setattr(toxicity, "_fitted", lambda learner, rows, category: seen.append((category, rows)) or fit(learner, rows, category))
+    scores(spark, [(i, int(i % 7 > 0), int(i % 5 == 0)) for i in range(400)], [""], 400)
+    assert [c for c, _ in seen] == ["low_quality"] * (1 + toxicity.FOLDS) + ["toxic"]
+    folds = [{r[0] for r in rows.select("_fold").distinct().collect()} for _, rows in seen]
+    assert folds[1:-1] == [set(range(toxicity.FOLDS)) - {k} for k in range(toxicity.FOLDS)]
+    # Each row's probability, again, from a model fitted by hand on the other folds.
+    known, learnt = seen[0][1], seen[-1][1]
+    for k in range(toxicity.FOLDS):
+        model = fit(toxicity._learner("low_quality", [], toxicity.TELLING, toxicity.PENALTY), known.where(F.col("_fold") != k), "low_quality")
+        again = {r._key: r._p_low_quality for r in toxicity._scored(model, known.where(F.col("_fold") == k), "low_quality").collect()}
+        used = {r._key: r._p_low_quality for r in learnt.where(F.col("_fold") == k).collect()}
+        assert used == pytest.approx(again)
+
+
 def test_query(spark, data):
     from civicpanel.llm.queries import op9_toxicity
 
