@@ -75,17 +75,13 @@ def _less(c: Column, by: Column, *keep: str) -> Column:
     )
 
 
-def _entity_rows(panel: DataFrame, by: list[str]) -> DataFrame:
-    """One row per (panel, entity) with its cells, x and y centred on the entity mean.
-
-    Repeated rows of a cell are merged first, before any shuffle, into mean and inner
-    deviations; an entity then holds at most one cell per period.
-    """
+def merged_cells(panel: DataFrame, by: list[str]) -> DataFrame:
+    """(by, entity, t, rows, n, x, y, vx, vxy): repeated rows of a cell as their mean and inner deviations."""
     complete = is_value("x") & is_value("y")
     xs, ys = (F.when(complete, F.col(c).cast("double")) for c in ("x", "y"))
     for key in (*by, "entity", "t"):
         panel = panel.where(F.col(key).isNotNull())
-    cells = panel.groupBy(*by, "entity", "t").agg(
+    return panel.groupBy(*by, "entity", "t").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(xs).cast("double").alias("n"),
         F.coalesce(F.avg(xs), F.lit(0.0)).alias("x"),
@@ -93,6 +89,15 @@ def _entity_rows(panel: DataFrame, by: list[str]) -> DataFrame:
         F.coalesce(F.var_pop(xs) * F.count(xs), F.lit(0.0)).alias("vx"),
         F.coalesce(F.covar_pop(xs, ys) * F.count(xs), F.lit(0.0)).alias("vxy"),
     )
+
+
+def _entity_rows(panel: DataFrame, by: list[str]) -> DataFrame:
+    """One row per (panel, entity) with its cells, x and y centred on the entity mean.
+
+    Repeated rows of a cell are merged first, before any shuffle; an entity then holds at
+    most one cell per period.
+    """
+    cells = merged_cells(panel, by)
     # One collected column, so that no reader of these rows prunes another part of it and
     # all of them share the same shuffle.
     cell = F.struct("t", "rows", "n", "x", "y", "vx", "vxy")
@@ -348,20 +353,37 @@ def fixed_effects(
     fitted = sums.withColumn("shift", F.when(F.col("q") > F.col("scale") * NEGLIGIBLE, F.col("s") / F.col("q")))
     shift = F.col("shift")
     meat = F.col("ss") - 2 * shift * F.col("sq") + shift * shift * F.col("qq")
-    factor = F.try_divide(F.col("clusters"), F.col("clusters") - 1) * F.when(
-        F.col("n_used") > F.col("n_params"), (F.col("n_used") - 1) / (F.col("n_used") - F.col("n_params"))
-    )
-    enough = (F.col("n_obs") >= min_obs) & (F.col("n_entities") >= min_entities)
-    usable = enough if on_missing == "drop" else enough & (F.col("n_obs") == F.col("n_used"))
+    complete = F.lit(on_missing == "drop") | (F.col("n_obs") == F.col("n_used"))
     estimated = fitted.select(
         *by,
         "n_obs",
         "n_entities",
-        enough.alias("enough"),
-        F.when(usable, F.col("slope0") + shift).alias("slope"),
-        F.when(usable, F.try_divide(F.sqrt(factor * F.greatest(meat, F.lit(0.0))), F.col("q"))).alias("error"),
+        F.when(complete, slope0 + shift).alias("slope"),
+        F.when(complete, clustered_error(meat, F.col("q"))).alias("error"),
     )
-    tested = estimated.withColumn("p", two_sided_p(F.try_divide("slope", "error")))
+    return report(estimated, names, min_obs, min_entities, alpha, digits)
+
+
+def clustered_error(meat: Column, square: Column) -> Column:
+    """Standard error from the summed squares of the entities' scores (columns ``clusters``, ``n_used``, ``n_params``)."""
+    factor = F.try_divide(F.col("clusters"), F.col("clusters") - 1) * F.when(
+        F.col("n_used") > F.col("n_params"), (F.col("n_used") - 1) / (F.col("n_used") - F.col("n_params"))
+    )
+    return F.try_divide(F.sqrt(factor * F.greatest(meat, F.lit(0.0))), square)
+
+
+def report(
+    estimated: DataFrame,
+    names: dict[str, str],
+    min_obs: int = 30,
+    min_entities: int = 5,
+    alpha: float = 0.05,
+    digits: tuple[int, int] | None = (5, 4),
+) -> DataFrame:
+    """Verdicts on (keys of ``names``, n_obs, n_entities, slope, error), under the names of the panel's columns."""
+    enough = (F.col("n_obs") >= min_obs) & (F.col("n_entities") >= min_entities)
+    held = estimated.withColumns({c: F.when(enough, F.col(c)) for c in ("slope", "error")}).withColumn("enough", enough)
+    tested = held.withColumn("p", two_sided_p(F.try_divide("slope", "error")))
     effect, p = F.col("slope"), F.col("p")
     verdict = (
         F.when(~F.col("enough"), fv.VERDICT_FEW)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from civicpanel import fixed_values as fv
 from civicpanel.operators import panel_regression as regression
+from civicpanel.operators.long_panels import fixed_effects_long
 from civicpanel.operators.panel_regression import fixed_effects, two_sided_p
 
 SCHEMA = "combo STRING, uf STRING, ano INT, x DOUBLE, y DOUBLE"
@@ -77,6 +78,27 @@ def test_equals_explicit_dummies(spark, data):
     assert got["valor_p"] == pytest.approx(p, rel=1e-6, abs=1e-12)
 
 
+@pytest.mark.parametrize("missing", ["fail", "drop"])
+def test_rounds_equal_the_matrix(spark, missing):
+    """Panels with holes, repeats, missing values, a disconnected one and a small one: conjugate gradients find the same."""
+    data = noisy("holes", 14, 40, 5, hole=0.5, repeat=0.1) + noisy("trend", 10, 20, 6, hole=0.3, trend=50.0) + noisy("few", 3, 4, 7)
+    data += [("split", f"v{e}", 10 * (e % 2) + t, float((e * t) % 5), float((e + 1) * t * t % 7)) for e in range(8) for t in range(9)]
+    data += [("missing", *r[1:]) for r in noisy("m", 8, 9, 8)] + [("missing", "u000", 2001, None, 1.0), (None, "u1", 2000, 1.0, 1.0), ("holes", None, 2000, 1.0, 1.0)]
+    data += [("flat", f"u{e}", t, 2.0, float(e * t)) for e in range(6) for t in range(6)]
+    df = spark.createDataFrame(data, SCHEMA).repartition(5)
+    both = [f(df, ["combo"], "uf", "ano", "x", "y", on_missing=missing, digits=None) for f in (fixed_effects, fixed_effects_long)]
+    expected, found = ({r.combo: r for r in b.collect()} for b in both)
+    assert both[0].dtypes == both[1].dtypes and set(found) == set(expected) == {"holes", "trend", "few", "split", "missing", "flat"}
+    for name, r in expected.items():
+        assert found[name][:3] == r[:3] and found[name].interpretacao == r.interpretacao
+        for column in ("efeito", "erro_padrao", "valor_p"):
+            assert found[name][column] == (None if r[column] is None else pytest.approx(r[column], rel=1e-6, abs=1e-9)), (name, column)
+
+
+def test_long_panels_of_nothing(spark):
+    assert fixed_effects_long(spark.createDataFrame([], SCHEMA), ["combo"], "uf", "ano", "x", "y").collect() == []
+
+
 def line_panel(drop=0, shift_entity=None, shift_year=None):
     data = []
     for i in range(6):

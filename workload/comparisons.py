@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from civicpanel.operators import association, compare, filters, lookups, quality, tenure
+from civicpanel.operators.long_panels import fixed_effects_long
 from civicpanel.operators.panel_regression import fixed_effects as fixed_effects_by
 from civicpanel.sources.frames import literal_frame
 from workload import inputs as src
@@ -278,9 +279,9 @@ SWEPT = """
   FROM tested"""
 
 
-def sweeps(effect="round(b, 5)", error="round(se, 5)"):
+def sweeps(effect="round(b, 5)", error="round(se, 5)", rounds=60):
     """The regression's CTEs and result; ``effect`` and ``error`` round it, once."""
-    return SWEPT.replace("{effect}", effect).replace("{error}", error)
+    return SWEPT.replace("{effect}", effect).replace("{error}", error).replace("k < 60", f"k < {rounds}").replace("k = 60", f"k = {rounds}")
 
 
 def on_panel(cause, x, where=""):
@@ -316,6 +317,27 @@ def fixed_effects_unbalanced(spark, d):
     return slopes(held.withColumn("x", F.col("valor")))
 
 
+WEEKLY = """(SELECT 'todas' AS dimensao, sigla_uf, datediff('day', DATE '1995-01-01', o_orderdate::DATE) // 7 AS ano,
+    sum(valor) / 1e6 AS x, avg(saldo) / 1e3 AS y FROM placed GROUP BY ALL)"""
+
+
+@query(
+    "fixed_effects_weekly",
+    with_ctes(
+        "placed",
+        select=f"SELECT * FROM (WITH RECURSIVE panel AS {WEEKLY}, {sweeps(rounds=250)})",
+    ),
+)
+def fixed_effects_weekly(spark, d):
+    """Order value against mean balance with an effect for every state and every week of seven years."""
+    days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date"))
+    weekly = src.placed(spark, d).groupBy(F.lit("todas").alias("dimensao"), "sigla_uf", F.floor(days / 7).alias("semana")).agg(
+        (F.sum("valor") / 1e6).alias("x"), (F.avg("saldo") / 1e3).alias("y")
+    )
+    out = fixed_effects_long(weekly, ["dimensao"], "sigla_uf", "semana", "x", "y", digits=None)
+    return to_digits(out, 5, "efeito", "erro_padrao").withColumn("valor_p", F.bround("valor_p", 4))
+
+
 # --- checks ---------------------------------------------------------------------
 
 
