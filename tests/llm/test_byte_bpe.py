@@ -59,7 +59,7 @@ def test_every_character_splits_alike(reference):
     """The split pattern means the same to the libraries, for all characters."""
     coder = bb.codec(RANKS, PATTERN)
     every = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
-    texts = ["".join(f"a{c}b 1{c}2 {c}{c} .{c}." for c in every[at : at + 500]) for at in range(0, len(every), 500)]
+    texts = ["".join(f"a{c}1{c} {c}.{c}" for c in every[at : at + 500]) for at in range(0, len(every), 500)]
     expected = reference.encode_ordinary_batch(texts, num_threads=8)
     assert [i.tolist() for i in coder.ids(texts)] == expected
 
