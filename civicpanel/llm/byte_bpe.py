@@ -105,17 +105,20 @@ class Codec:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.letters = 0
-        self.flat, self.starts, self.lengths = (np.zeros(0, np.int64) for _ in range(3))
+        self.letters = self.filled = 0
+        self.flat, self.starts, self.lengths = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def learn(self, words: list[str]) -> None:
         """Encode words that were not seen before."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int64, int(lengths.sum()))])
+        at, end, total = len(self.index), len(self.index) + len(words), int(lengths.sum())
+        self.index.update(zip(words, range(at, end)))
+        self.starts, self.lengths = roomy(self.starts, end), roomy(self.lengths, end)
+        self.starts[at:end], self.lengths[at:end] = self.filled + np.cumsum(lengths) - lengths, lengths
+        self.flat = roomy(self.flat, self.filled + total)
+        self.flat[self.filled : self.filled + total] = np.fromiter(chain.from_iterable(found), np.int32, total)
+        self.filled += total
         self.letters += sum(map(len, words))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -138,7 +141,7 @@ class Codec:
                 lengths = self.lengths[place]
                 ends = np.cumsum(lengths)
                 total = int(ends[-1]) if len(ends) else 0
-                found[row].append(self.flat[np.arange(total) + np.repeat(self.starts[place] - ends + lengths, lengths)].astype(np.int32))
+                found[row].append(self.flat[np.arange(total) + np.repeat(self.starts[place] - ends + lengths, lengths)])
             at = end
         return [np.concatenate(f) for f in found]
 
@@ -169,6 +172,15 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(*built(path), pattern)
 
 
+def roomy(values: np.ndarray, size: int) -> np.ndarray:
+    """The same numbers with room for ``size`` of them."""
+    if size <= len(values):
+        return values
+    grown = np.zeros(2 * size, values.dtype)
+    grown[: len(values)] = values
+    return grown
+
+
 def written_as(token: bytes) -> str:
     return "".join(LETTERS[b] for b in token)
 
