@@ -8,6 +8,8 @@ once for as long as a task keeps it. The offsets of a token count the bytes of t
 characters by the bytes that begin one. A token that holds part of a character has the span
 of the whole character, so spans of neighbours can overlap.
 
+The pattern's classes are those of tiktoken: characters that the pattern library's Unicode tables
+class otherwise are found by probing both and stand for a plain one of their class in splitting.
 Long texts are encoded in pieces of about ``PIECE`` characters, cut where a space follows
 something that is not white space: there every match ends, so nothing changes.
 
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -95,14 +98,21 @@ class Bytes:
 class Codec:
     """A vocabulary in the ``tokenizers`` library, and the ids of the words seen so far."""
 
-    def __init__(self, built: str, table: Bytes, pattern: str):
+    def __init__(self, built: str, table: Bytes, odd: dict[int, str], pattern: str):
         import regex
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
-        self.tokenizer, self.bytes, self.words_of = Tokenizer.from_str(built), table, regex.compile(pattern).findall
+        self.tokenizer, self.bytes, self.pattern = Tokenizer.from_str(built), table, regex.compile(pattern)
+        self.odd, self.has_odd = odd, re.compile(one_of(odd)).search if odd else None
         self.forget()
 
+    def words_of(self, text: str) -> list[str]:
+        """Matches of the split pattern, characters classed as tiktoken does."""
+        if text.isascii() or self.has_odd is None or not self.has_odd(text):
+            return self.pattern.findall(text)
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.odd))]
+
     def forget(self) -> None:
         self.index: dict[str, int] = {}
         self.letters = self.filled = 0
@@ -156,8 +166,42 @@ class Codec:
         return first.astype(np.int32), before[ends].astype(np.int32), int((inside[starts] | inside[ends]).sum())
 
 
-def built(path: str) -> tuple[str, Bytes]:
-    """The tokenizer of a file of ranks as text, and its byte table. Words come split already, so it splits no more."""
+def odd_characters() -> dict[int, str]:
+    """Characters that ``regex`` and tiktoken class otherwise, as their Unicode tables are of different years.
+
+    With each a plain character of the class that tiktoken sees: white space, number, letter or other.
+    """
+    import regex
+    import tiktoken
+
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    single = {bytes([b]): b for b in range(256)}
+    odd, classes = set(), {}
+    for kind, plain in ((r"\s", "\u2003"), (r"\p{N}", "0"), (r"\p{L}", "é")):
+        # What tiktoken does not match has no ids.
+        probe = tiktoken.Encoding("probe", pat_str=kind, mergeable_ranks=single, special_tokens={})
+        theirs = set(bytes(probe.encode_ordinary(every)).decode())
+        odd |= theirs.symmetric_difference(regex.findall(kind, every))
+        classes |= dict.fromkeys(theirs, plain)
+    return {ord(c): classes.get(c, "!") for c in odd}
+
+
+def one_of(characters: dict[int, str]) -> str:
+    """A pattern for any of the characters, as ranges."""
+    ranges: list[list[int]] = []
+    for c in sorted(characters):
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges) + "]"
+
+
+def built(path: str) -> tuple[str, Bytes, dict[int, str]]:
+    """What a ``Codec`` needs of a file of ranks: the tokenizer as text, the byte table, odd characters.
+
+    Words come split already, so the tokenizer splits no more.
+    """
     from tokenizers import Tokenizer, models, pre_tokenizers
 
     table = ranks(path)
@@ -165,7 +209,7 @@ def built(path: str) -> tuple[str, Bytes]:
     pairs = [(written_as(a), written_as(b)) for a, b in merges(table)]
     tokenizer = Tokenizer(models.BPE(vocab=vocabulary, merges=pairs, ignore_merges=True, cache_capacity=0))
     tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    return tokenizer.to_str(), Bytes(vocabulary)
+    return tokenizer.to_str(), Bytes(vocabulary), odd_characters()
 
 
 def codec(path: str, pattern: str) -> Codec:
