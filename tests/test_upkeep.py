@@ -332,6 +332,22 @@ def test_indexed_search_equals_a_scan(spark, tmp_path):
     assert "PartitionFilters: [_balde" in shown.replace("isnotnull(_balde", "_balde")
 
 
+def test_posting_lists_are_stored_in_pieces(spark, tmp_path):
+    """One record for each letter triple of the rows of a batch, also of long texts and of letters beyond 16 bits."""
+    long = "".join(random.Random(6).choices("abcdefgh \x00é😀", k=20_000))
+    texts = [(f"k{i}", "one two three") for i in range(300)] + [("long", long + "Needle"), ("end", "x\x00😀y"), (None, "one")]
+    df = spark.createDataFrame(texts, "id STRING, t STRING").coalesce(1)
+    before = spark.conf.get(keyword_index.ARROW_ROWS)
+    index = keyword_index.build(df, "id", "t", buckets=8, folder=str(tmp_path / "index"))
+    assert spark.conf.get(keyword_index.ARROW_ROWS) == before
+    lists = spark.read.schema(index.list_schema).parquet(index.lists)
+    distinct = {t.lower()[i : i + 3] for k, t in texts if k for i in range(len(t) - 2)}
+    assert lists.count() == len(distinct)
+    for word in ("needle", "two three", long[10_000:10_030], "\x00😀Y", "no"):
+        expected = sorted(k for k, t in texts if k and word.lower() in t.lower())
+        assert sorted(r.id for r in index.search(spark, [word]).collect()) == expected
+
+
 def test_bucketed_join_has_no_exchange(spark, data):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
