@@ -1,17 +1,20 @@
 """Byte-level BPE: texts to ids with offsets, and ids back to bytes and text.
 
-Encoding runs in the ``tokenizers`` library over Arrow batches. A byte-level vocabulary writes
-each byte as a printable character; ranks become a vocabulary and the merges that make each
-token out of two shorter ones, and matches of the split pattern that are a token are taken
-whole. A match has the same ids wherever it stands, so the library gets each different one
-once for as long as a task keeps it. The offsets of a token count the bytes of the tokens before it; they are turned into
-characters by the bytes that begin one. A token that holds part of a character has the span
-of the whole character, so spans of neighbours can overlap.
-
-The pattern's classes are those of tiktoken: characters that the pattern library's Unicode tables
-class otherwise are found by probing both and stand for a plain one of their class in splitting.
-Long texts are encoded in pieces of about ``PIECE`` characters, cut where a space follows
-something that is not white space: there every match ends, so nothing changes.
+Encoding runs in the ``tiktoken`` library over Arrow batches, at a cost that does not depend on
+how many different words there are. Long texts are encoded in pieces of about ``PIECE`` characters,
+cut where a space follows something that is not white space: there every match of the split
+pattern ends, so nothing changes. The offsets of a token count the bytes of the tokens before
+it; they are turned into characters by the bytes that begin one. A token that holds part of a
+character has the span of the whole character, so spans of neighbours can overlap.
+
+tiktoken's pattern matcher gives up on runs of about a million white spaces. A piece that cannot
+be cut to ``AT_ONCE`` characters is split by the ``regex`` library and its words go to ``tokenizers``.
+There a byte-level vocabulary writes each byte as a printable character; ranks become a vocabulary
+and the merges that make each token out of two shorter ones, and matches of the split pattern
+that are a token are taken whole. A match has the same ids wherever it stands, so each different
+one is encoded once for as long as a task keeps it. The pattern's classes are those of tiktoken:
+characters that ``regex``'s Unicode tables class otherwise are found by probing both and stand for a
+plain one of their class in splitting.
 
 Decoding reverses the byte table. Ids may begin or end inside a character, as pieces of a
 packed document do: ``head`` and ``tail`` are the bytes of its other half, and ``text`` is what
@@ -30,6 +33,7 @@ import base64
 import os
 import re
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -41,7 +45,7 @@ from pyspark.sql.types import StructType
 from civicpanel.llm.common import small_batches
 from civicpanel.llm.packing import byte_alphabet
 
-#: Characters of a piece of a long text, and of the texts that the library gets at once.
+#: Characters of a piece of a long text, and the most that ``tiktoken`` gets at once.
 PIECE, AT_ONCE = 1 << 18, 1 << 19
 #: Characters of the words whose ids a task keeps; beyond, it begins anew.
 KEPT_LETTERS = 1 << 23
@@ -96,17 +100,26 @@ class Bytes:
 
 
 class Codec:
-    """A vocabulary in the ``tokenizers`` library, and the ids of the words seen so far."""
+    """A vocabulary in ``tiktoken``, and in ``tokenizers`` for long unbroken runs with the ids of their words seen so far."""
 
-    def __init__(self, built: str, table: Bytes, odd: dict[int, str], pattern: str):
+    def __init__(self, table: dict[bytes, int], built: str, bytes_of: Bytes, odd: dict[int, str], pattern: str):
         import regex
-        from tokenizers import Tokenizer
+        import tiktoken
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
-        self.tokenizer, self.bytes, self.pattern = Tokenizer.from_str(built), table, regex.compile(pattern)
+        # Arrays take half as long again from a vocabulary without a special token; this one is never allowed, so never an id.
+        never = {"<|never|>": max(table.values(), default=-1) + 1}
+        self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens=never)
+        self.built, self.bytes, self.pattern = built, bytes_of, regex.compile(pattern)
         self.odd, self.has_odd = odd, re.compile(one_of(odd)).search if odd else None
         self.forget()
 
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.built)
+
     def words_of(self, text: str) -> list[str]:
         """Matches of the split pattern, characters classed as tiktoken does."""
         if text.isascii() or self.has_odd is None or not self.has_odd(text):
@@ -132,28 +145,25 @@ class Codec:
         self.letters += sum(map(len, words))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; ``AT_ONCE`` characters are split into words at a time."""
-        cut = [(row, piece) for row, text in enumerate(texts) for piece in pieces(text)]
-        found: list[list[np.ndarray]] = [[np.zeros(0, np.int32)] for _ in texts]
-        at = 0
-        while at < len(cut):
-            end, size = at, 0
-            while end < len(cut) and (end == at or size + len(cut[end][1]) <= AT_ONCE):
-                size += len(cut[end][1])
-                end += 1
-            words = [self.words_of(p) for _, p in cut[at:end]]
-            if self.letters > KEPT_LETTERS:
-                self.forget()
-            if new := set(chain.from_iterable(words)).difference(self.index):
-                self.learn(list(new))
-            for (row, _), each in zip(cut[at:end], words):
-                place = np.fromiter(map(self.index.__getitem__, each), np.int64, len(each))
-                lengths = self.lengths[place]
-                ends = np.cumsum(lengths)
-                total = int(ends[-1]) if len(ends) else 0
-                found[row].append(self.flat[np.arange(total) + np.repeat(self.starts[place] - ends + lengths, lengths)])
-            at = end
-        return [np.concatenate(f) for f in found]
+        """Ids of each text."""
+        return [np.concatenate([np.zeros(0, np.int32), *map(self.ids_of_piece, pieces(text))]) for text in texts]
+
+    def ids_of_piece(self, text: str) -> np.ndarray:
+        if len(text) > AT_ONCE:
+            return self.ids_of_words(self.words_of(text))
+        return self.fast.encode_to_numpy(text, disallowed_special=()).view(np.int32)
+
+    def ids_of_words(self, words: list[str]) -> np.ndarray:
+        """Ids of words one after the other; those not kept from earlier are encoded first."""
+        if self.letters > KEPT_LETTERS:
+            self.forget()
+        if new := set(words).difference(self.index):
+            self.learn(list(new))
+        place = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        lengths = self.lengths[place]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.arange(total) + np.repeat(self.starts[place] - ends + lengths, lengths)]
 
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         """First and last character (exclusive) of each token, and how many hold part of a character."""
@@ -198,7 +208,7 @@ def one_of(characters: dict[int, str]) -> str:
 
 
 def built(path: str) -> tuple[str, Bytes, dict[int, str]]:
-    """What a ``Codec`` needs of a file of ranks: the tokenizer as text, the byte table, odd characters.
+    """What a ``Codec`` needs besides ranks: the tokenizer as text, the byte table, odd characters.
 
     Words come split already, so the tokenizer splits no more.
     """
@@ -213,7 +223,7 @@ def built(path: str) -> tuple[str, Bytes, dict[int, str]]:
 
 
 def codec(path: str, pattern: str) -> Codec:
-    return Codec(*built(path), pattern)
+    return Codec(ranks(path), *built(path), pattern)
 
 
 def roomy(values: np.ndarray, size: int) -> np.ndarray:
@@ -254,7 +264,7 @@ def encode(docs: DataFrame, path: str, pattern: str, column: str = "text") -> Da
     """``ids``, ``starts``, ``ends`` (arrays of int) and ``split_tokens``, those with part of a character, for a text column."""
     results = ["ids", "starts", "ends", "split_tokens"]
     kept = [c for c in docs.columns if c not in (column, *results)]
-    vocabulary = built(path)
+    vocabulary = ranks(path), *built(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Codec(*vocabulary, pattern)

@@ -55,6 +55,59 @@ def test_forgetting_changes_nothing(reference, monkeypatch):
     assert coder.letters < 900
 
 
+def test_different_words_are_not_kept():
+    """Texts of words that all differ cost no more than others: none is learnt."""
+    rng, coder = random.Random(7), bb.codec(RANKS, PATTERN)
+    text = " ".join("".join(rng.choices("abcdeéü", k=9)) for _ in range(5000))
+    assert coder.bytes.of(coder.ids([text])[0]).tobytes().decode() == text
+    assert coder.letters == 0 and "tokenizer" not in vars(coder)
+
+
+def merged(word, table):
+    """Ids of a word by the definition: the neighbours of the lowest rank become one, the first of equals."""
+    parts = [bytes([b]) for b in word.encode()]
+    while len(parts) > 1:
+        rank, at = min((table.get(a + b, len(table) * 2), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+        if rank == len(table) * 2:
+            break
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return [table[p] for p in parts]
+
+
+@pytest.mark.parametrize("at_once", [bb.AT_ONCE, 0])
+def test_ids_by_definition(monkeypatch, at_once):
+    monkeypatch.setattr(bb, "AT_ONCE", at_once)
+    rng, table, coder = random.Random(8), bb.ranks(RANKS), bb.codec(RANKS, PATTERN)
+    texts = [noise(rng, 150) for _ in range(100)] + ["<|never|> <|endoftext|>", "a" * 300, ""]
+    for text, ids in zip(texts, coder.ids(texts)):
+        assert ids.tolist() == [i for word in coder.words_of(text) for i in merged(word, table)]
+
+
+def test_words_one_by_one(reference, monkeypatch):
+    """The way of long unbroken runs, also when it forgets words, gives what the other way does."""
+    monkeypatch.setattr(bb, "AT_ONCE", 0)
+    monkeypatch.setattr(bb, "KEPT_LETTERS", 300)
+    rng = random.Random(9)
+    coder, texts = bb.codec(RANKS, PATTERN), [noise(rng, 120) for _ in range(80)]
+    assert [i.tolist() for i in coder.ids(texts)] == [reference.encode_ordinary(t) for t in texts]
+    assert 0 < coder.letters < 900
+
+
+def test_every_character_one_by_one(reference, monkeypatch):
+    monkeypatch.setattr(bb, "AT_ONCE", 0)
+    coder = bb.codec(RANKS, PATTERN)
+    every = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    texts = ["".join(f"a{c}1{c} {c}.{c}" for c in every[at : at + 500]) for at in range(0, len(every), 500)]
+    assert [i.tolist() for i in coder.ids(texts)] == reference.encode_ordinary_batch(texts, num_threads=8)
+
+
+def test_more_spaces_than_tiktoken_takes(reference):
+    n, coder = 1_100_000, bb.codec(RANKS, PATTERN)
+    ids = coder.ids([" " * n + "x", "plain", " " * n])
+    assert ids[0].tolist() == ids[2].tolist()[: n - 1] + reference.encode_ordinary(" x")
+    assert ids[1].tolist() == reference.encode_ordinary("plain") and coder.bytes.of(ids[2]).tobytes() == b" " * n
+
+
 def test_every_character_splits_alike(reference):
     """The split pattern means the same to the libraries, for all characters."""
     coder = bb.codec(RANKS, PATTERN)
