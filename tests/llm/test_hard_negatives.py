@@ -101,6 +101,32 @@ def test_intervals_hold_and_filter():
     assert state.meet(half) <= first
 
 
+def test_nothing_is_broadcast_and_passes_write_only_the_best(spark, monkeypatch):
+    """Equal vectors compress to files below any broadcast limit; several passes over few anchors each."""
+    monkeypatch.setattr(hn, "CHUNK_CELLS", 64 * 100)
+    monkeypatch.setattr(hn, "BLOCK", 16)
+    monkeypatch.setattr(hn, "PASS_BLOCKS", 2)
+    rows = [(i if i % 4 else 100 * i, v, k) for i, (_, v, k) in enumerate(vectors(np.random.default_rng(9), 40, 64) * 10)]
+    plans, kept = [], {}
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def written(df, name, *more):
+        plans.append(plan(df))
+        kept.setdefault(name, []).append(df := write(df, name, *more))
+        return df
+
+    write = hn.written
+    monkeypatch.setattr(hn, "written", written)
+    df = spark.createDataFrame([(i, v, k, "x", 0.0) for i, v, k in rows], SCHEMA)
+    mined = hn.hard_negatives(df.repartition(3), F.col("vec_id") % 100 == 0)
+    assert "Join" in plan(mined) and not any("Broadcast" in p for p in [*plans, plan(mined)])
+    assert sorted(map(tuple, mined.collect()), key=str) == plain(rows)
+    assert len(kept["positives"]) == len(kept["negatives"]) == 4
+    for name, k in (("positives", 5), ("negatives", 10)):
+        for df in kept[name]:
+            assert df.groupBy("block", "anchor", "target").count().agg(F.max("count")).first()[0] == k
+
+
 def test_rotation_keeps_lengths():
     rows = np.random.default_rng(0).standard_normal((20, 128))
     turned = hn.rotated(rows, hn.signs(128))
