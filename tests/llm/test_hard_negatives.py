@@ -57,6 +57,14 @@ def test_equals_all_pairs(spark, monkeypatch, wide):
     assert found == plain(rows) and len(found) > 300
 
 
+def test_many_labels(spark, monkeypatch):
+    """Tiles of anchors with several labels each, labels without anchors, and anchors without alike rows."""
+    monkeypatch.setattr(hn, "TILE", 4)
+    rows = [(100 * i if i % 3 else i, v, (i * i) % 71 - 5) for i, (_, v, _) in enumerate(vectors(np.random.default_rng(4), 300, 9))]
+    found = mined(spark, rows)
+    assert found == plain(rows) and len(found) > 1000
+
+
 def test_awkward_rows(spark):
     nan, inf = float("nan"), float("inf")
     rng = random.Random(3)
@@ -107,11 +115,13 @@ def test_nothing_is_broadcast_and_passes_write_only_the_best(spark, monkeypatch)
     monkeypatch.setattr(hn, "BLOCK", 16)
     monkeypatch.setattr(hn, "PASS_BLOCKS", 2)
     rows = [(i if i % 4 else 100 * i, v, k) for i, (_, v, k) in enumerate(vectors(np.random.default_rng(9), 40, 64) * 10)]
-    plans, kept = [], {}
+    batch = "spark.sql.parquet.columnarReaderBatchSize"
+    plans, held, kept, usual = [], [], {}, spark.conf.get(batch)
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
 
     def written(df, name, *more):
         plans.append(plan(df))
+        held.append(int(spark.conf.get(batch)))
         kept.setdefault(name, []).append(df := write(df, name, *more))
         return df
 
@@ -121,6 +131,7 @@ def test_nothing_is_broadcast_and_passes_write_only_the_best(spark, monkeypatch)
     mined = hn.hard_negatives(df.repartition(3), F.col("vec_id") % 100 == 0)
     assert "Join" in plan(mined) and not any("Broadcast" in p for p in [*plans, plan(mined)])
     assert sorted(map(tuple, mined.collect()), key=str) == plain(rows)
+    assert max(held) <= 64 and spark.conf.get(batch) == usual  # chunks and blocks are wide rows
     assert len(kept["positives"]) == len(kept["negatives"]) == 4
     for name, k in (("positives", 5), ("negatives", 10)):
         for df in kept[name]:
